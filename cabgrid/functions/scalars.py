@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cabgrid.config import Box, Weights
+from cabgrid.functions.hexgrid import double
 
 # Thresholds in mm and cm, temperatures in degrees Celsius.
 MEASURABLE_RAIN = 0.1
@@ -24,9 +25,13 @@ def in_box(lat: Column | str, lon: Column | str, box: Box) -> Column:
     return _col(lat).between(box.lat_min, box.lat_max) & _col(lon).between(box.lon_min, box.lon_max)
 
 
-def safe_int(value: Column | str) -> Column:
+def safe_int_sql(value: str) -> str:
+    return f"coalesce(try_cast({value} AS INT), 0)"
+
+
+def safe_int(value: str) -> Column:
     """Integer value; NULL, NaN and unreadable text become 0."""
-    return F.coalesce(_col(value).try_cast("int"), F.lit(0))
+    return F.expr(safe_int_sql(f"`{value}`"))
 
 
 def number_or_null(value: Column | str) -> Column:
@@ -61,29 +66,27 @@ def temp_bucket(temp: Column | str) -> Column:
     )
 
 
-def charger_score(counts: list[tuple[Column | str, Column | str]], weights: Weights) -> Column:
-    """Weighted charger count over the nearest stations, given as (fast, level 2) pairs."""
-    parts = []
-    for (fast, level2), discount in zip(counts, weights.by_priority):
-        zero = F.lit(0)
-        plugs = F.coalesce(_col(fast), zero) * F.lit(weights.fast) + F.coalesce(_col(level2), zero) * F.lit(
-            weights.level2
-        )
-        parts.append(plugs * F.lit(discount))
-    total = parts[0]
-    for part in parts[1:]:
-        total = total + part
-    return total
+def charger_score(counts: list[tuple[str, str]], weights: Weights) -> Column:
+    """Weighted charger count over the nearest stations, given as (fast, level 2) columns."""
+    parts = [
+        f"(coalesce({fast}, 0) * {double(weights.fast)} + coalesce({level2}, 0) * {double(weights.level2)})"
+        f" * {double(discount)}"
+        for (fast, level2), discount in zip(counts, weights.by_priority)
+    ]
+    return F.expr(" + ".join(parts))
 
 
-def min_max(value: Column, low: Column, high: Column, epsilon: float) -> Column:
+def min_max(value: str, low: str, high: str, epsilon: float) -> Column:
     """Value scaled to [0, 1] between ``low`` and ``high``."""
-    return (value - low) / (high - low + F.lit(epsilon))
+    return F.expr(f"({value} - {low}) / ({high} - {low} + {double(epsilon)})")
 
 
-def final_score(demand: Column, distance: Column, charger: Column, weights: Weights) -> Column:
+def final_score(demand: str, distance: str, charger: str, weights: Weights) -> Column:
     """Weighted sum of the three scaled terms; distance counts against a cell."""
-    return F.lit(weights.demand) * demand - F.lit(weights.distance) * distance + F.lit(weights.charger) * charger
+    return F.expr(
+        f"{double(weights.demand)} * {demand} - {double(weights.distance)} * {distance}"
+        f" + {double(weights.charger)} * {charger}"
+    )
 
 
 def shown(value: Column | str, digits: int) -> Column:

@@ -109,7 +109,7 @@ def predictions_table(scored: DataFrame) -> DataFrame:
 def regression_metrics(rows: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """``rmse``, ``mae`` and ``r2`` in one pass."""
     y, error = F.col(label), F.col(prediction) - F.col(label)
-    total = F.sum(y * y) - F.sum(y) * F.sum(y) / F.count(y)
+    total = F.var_pop(y) * F.count(y)
     return rows.agg(
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cabgrid.config import Settings
 from cabgrid.functions import scalars
-from cabgrid.functions.hexgrid import neighbour_steps, neighbours
+from cabgrid.functions.hexgrid import neighbours, steps_around
 
 SLOT = ("hour_of_day", "day_of_week")
 
@@ -27,15 +27,15 @@ def candidates(typical: DataFrame, k: int) -> DataFrame:
     that the origin has demand in the slot too. That is one shuffle of the
     pairs by origin and slot, which scoring and ranking use again.
     """
-    offered = typical.withColumnsRenamed(
-        {"pickup_h3": "candidate_h3", "typical_demand": "candidate_demand", "demand_p75": "candidate_p75"}
-    ).withColumn("step", F.explode(neighbour_steps("candidate_h3", k)))
-    pairs = offered.select(
-        F.col("step.cell").alias("origin_h3"),
+    roles = {"pickup_h3": "candidate_h3", "typical_demand": "candidate_demand", "demand_p75": "candidate_p75"}
+    offered = typical.withColumnsRenamed(roles).withColumn("step", F.explode(steps_around(k)))
+    kept = [c for c in offered.columns if c not in ("step", "candidate_h3", *SLOT)]
+    pairs = offered.selectExpr(
+        "candidate_h3 - step.offset AS origin_h3",
         *SLOT,
         "candidate_h3",
-        F.col("step.grid_distance").alias("grid_distance"),
-        *[c for c in offered.columns if c not in ("step", "candidate_h3", *SLOT)],
+        "step.grid_distance AS grid_distance",
+        *kept,
     )
     origins = typical.select(F.col("pickup_h3").alias("origin_h3"), *SLOT)
     return pairs.join(origins, ["origin_h3", *SLOT], "left_semi")
@@ -51,21 +51,21 @@ def score(pairs: DataFrame, settings: Settings) -> DataFrame:
     """Add the scaled terms and the final score, per origin and slot."""
     group = Window.partitionBy("origin_h3", *SLOT)
     weights = settings.weights
-
-    def scaled(name: str):
-        return scalars.min_max(
-            F.col(name), F.min(name).over(group), F.max(name).over(group), weights.epsilon
+    terms = {"norm_demand": "candidate_demand", "norm_distance": "grid_distance", "norm_charger": "charger_score"}
+    extremes = {}
+    for name in terms.values():
+        extremes[f"{name}_low"] = F.min(name).over(group)
+        extremes[f"{name}_high"] = F.max(name).over(group)
+    return (
+        pairs.withColumns(extremes)
+        .withColumns(
+            {
+                term: scalars.min_max(name, f"{name}_low", f"{name}_high", weights.epsilon)
+                for term, name in terms.items()
+            }
         )
-
-    return pairs.withColumns(
-        {
-            "norm_demand": scaled("candidate_demand"),
-            "norm_distance": scaled("grid_distance"),
-            "norm_charger": scaled("charger_score"),
-        }
-    ).withColumn(
-        "final_score",
-        scalars.final_score(F.col("norm_demand"), F.col("norm_distance"), F.col("norm_charger"), weights),
+        .withColumn("final_score", scalars.final_score(*terms, weights))
+        .drop(*extremes)
     )
 
 

@@ -148,7 +148,7 @@ def intensity(typical: DataFrame, frame: tuple[str, ...] = SLOT, epsilon: float
     return (
         typical.join(F.broadcast(extremes), list(frame))
         .withColumn(
-            "intensity", scalars.min_max(F.col("typical_demand"), F.col("low"), F.col("high"), epsilon)
+            "intensity", scalars.min_max("typical_demand", "low", "high", epsilon)
         )
         .withColumn("height", scalars.shown("typical_demand", 0))
         .drop("low", "high")

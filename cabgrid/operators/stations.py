@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cabgrid.config import Settings
 from cabgrid.functions import scalars
-from cabgrid.functions.hexgrid import AXIS_BITS, cell_q, cell_r, grid_distance, pack
+from cabgrid.functions.hexgrid import AXIS_BITS, grid_distance, pack_sql, q_sql, r_sql
 
 DETAILS = ("station_name", "lat", "lon", "fast_chargers", "level2_chargers", "charger_h3")
 
@@ -52,33 +52,23 @@ def rejected_stations(raw: DataFrame) -> DataFrame:
     )
 
 
-def _tile(q: Column, r: Column, bits: int) -> Column:
+def _tile(bits: int) -> str:
     """Id of the square tile of ``2**bits`` cells that holds ``(q, r)``."""
-    return pack(F.shiftright(q, bits), F.shiftright(r, bits))
+    return pack_sql(f"shiftright(q, {bits})", f"shiftright(r, {bits})")
 
 
 def _tiles(occupied: DataFrame, bits: int, parent_bits: int, k: int) -> DataFrame:
     """Occupied tiles of one size: station count (up to ``k``) and extent in q, r and q + r."""
-    q, r = F.col("q"), F.col("r")
-    return occupied.groupBy(_tile(q, r, bits).alias("tile"), _tile(q, r, parent_bits).alias("parent")).agg(
-        F.least(F.sum("n"), F.lit(k)).alias("n"),
-        F.min("q").alias("q_lo"),
-        F.max("q").alias("q_hi"),
-        F.min("r").alias("r_lo"),
-        F.max("r").alias("r_hi"),
-        F.min(q + r).alias("s_lo"),
-        F.max(q + r).alias("s_hi"),
+    return occupied.groupBy(F.expr(f"{_tile(bits)} AS tile"), F.expr(f"{_tile(parent_bits)} AS parent")).agg(
+        F.expr(f"least(sum(n), {k}) AS n"),
+        *[
+            F.expr(f"{end}({axis}) AS {name}_{end}")
+            for name, axis in (("q", "q"), ("r", "r"), ("s", "q + r"))
+            for end in ("min", "max")
+        ],
     )
 
 
-def _closest(at: Column, low: Column, high: Column) -> Column:
-    return F.greatest(low - at, at - high, F.lit(0))
-
-
-def _farthest(at: Column, low: Column, high: Column) -> Column:
-    return F.greatest(F.abs(at - low), F.abs(at - high))
-
-
 def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` nearest stations of each cell: ``(h3_cell, priority, charger_distance, station columns)``.
 
@@ -99,30 +89,31 @@ def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataF
     occupied = (
         local.groupBy("charger_h3")
         .agg(F.count("*").alias("n"))
-        .select("n", cell_q("charger_h3").alias("q"), cell_r("charger_h3").alias("r"))
+        .selectExpr("n", f"{q_sql('charger_h3')} AS q", f"{r_sql('charger_h3')} AS r")
+    )
+    roots = ", ".join(pack_sql(str(q), str(r)) for q in (-1, 0) for r in (-1, 0))
+    walk = (
+        cells.select("h3_cell")
+        .filter("h3_cell IS NOT NULL")
+        .distinct()
+        .selectExpr("h3_cell", f"explode(array({roots})) AS kept")
     )
-    roots = F.array(*[pack(F.lit(q), F.lit(r)) for q in (-1, 0) for r in (-1, 0)])
-    walk = cells.select("h3_cell").filter(F.col("h3_cell").isNotNull()).distinct().withColumn("kept", F.explode(roots))
-
     by_cell = Window.partitionBy("h3_cell")
     within = by_cell.orderBy("d_max").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    q, r = cell_q("h3_cell"), cell_r("h3_cell")
-    axes = ((q, "q_lo", "q_hi"), (r, "r_lo", "r_hi"), (q + r, "s_lo", "s_hi"))
+    q, r = q_sql("h3_cell"), r_sql("h3_cell")
+    axes = (("q", q), ("r", r), ("s", f"({q} + {r})"))
+    # Distance is the largest difference along the three axes.
+    closest = ", ".join(f"{n}_min - {at}, {at} - {n}_max" for n, at in axes)
+    farthest = ", ".join(f"abs({at} - {n}_min), abs({at} - {n}_max)" for n, at in axes)
     for parent_bits, bits in zip(TILE_BITS, TILE_BITS[1:]):
         tiles = _tiles(occupied, bits, parent_bits, k)
         walk = (
             walk.join(tiles, walk["kept"] == tiles["parent"])
-            .select(
-                "h3_cell",
-                "tile",
-                "n",
-                F.greatest(*[_closest(at, F.col(lo), F.col(hi)) for at, lo, hi in axes]).alias("d_min"),
-                F.greatest(*[_farthest(at, F.col(lo), F.col(hi)) for at, lo, hi in axes]).alias("d_max"),
-            )
+            .selectExpr("h3_cell", "tile", "n", f"greatest(0, {closest}) AS d_min", f"greatest({farthest}) AS d_max")
             .withColumn("stations_within", F.sum("n").over(within))
-            .withColumn("enough_at", F.min(F.when(F.col("stations_within") >= k, F.col("d_max"))).over(by_cell))
+            .withColumn("enough_at", F.min(F.expr(f"IF(stations_within >= {k}, d_max, NULL)")).over(by_cell))
             .filter("enough_at IS NULL OR d_min <= enough_at")
-            .select("h3_cell", F.col("tile").alias("kept"))
+            .selectExpr("h3_cell", "tile AS kept")
         )
     nearest_first = by_cell.orderBy("charger_distance", "charger_id")
     return (
@@ -147,15 +138,11 @@ def nearest_table(zone_cell_rows: DataFrame, stations: DataFrame, k: int = 3) ->
         .pivot("priority", list(range(1, k + 1)))
         .agg(F.first(F.struct("charger_id", *DETAILS)))
     )
-    return zone_cell_rows.join(wide, "h3_cell").select(
+    return zone_cell_rows.join(wide, "h3_cell").selectExpr(
         "LocationID",
         "h3_cell",
-        *[F.col(f"`{p}`.charger_id").alias(f"priority_{p}") for p in range(1, k + 1)],
-        *[
-            F.col(f"`{p}`.{name}").alias(wide_name(p, name))
-            for p in range(1, k + 1)
-            for name in DETAILS
-        ],
+        *[f"`{p}`.charger_id AS priority_{p}" for p in range(1, k + 1)],
+        *[f"`{p}`.{name} AS {wide_name(p, name)}" for p in range(1, k + 1) for name in DETAILS],
     )
 
 
@@ -168,23 +155,17 @@ def wide_name(priority: int, detail: str) -> str:
 
 def long_stations(nearest: DataFrame, k: int = 3) -> DataFrame:
     """Wide nearest-station columns as rows ``(priority, name, lat, lon, fast, level2)``."""
-    slots = F.array(
-        *[
-            F.struct(
-                F.lit(p).alias("priority"),
-                F.col(wide_name(p, "station_name")).alias("name"),
-                F.col(wide_name(p, "lat")).alias("lat"),
-                F.col(wide_name(p, "lon")).alias("lon"),
-                scalars.safe_int(wide_name(p, "fast_chargers")).alias("fast"),
-                scalars.safe_int(wide_name(p, "level2_chargers")).alias("level2"),
-            )
-            for p in range(1, k + 1)
-        ]
+    slots = ", ".join(
+        f"""named_struct('priority', {p}, 'name', {wide_name(p, "station_name")},
+            'lat', {wide_name(p, "lat")}, 'lon', {wide_name(p, "lon")},
+            'fast', {scalars.safe_int_sql(wide_name(p, "fast_chargers"))},
+            'level2', {scalars.safe_int_sql(wide_name(p, "level2_chargers"))})"""
+        for p in range(1, k + 1)
     )
     wide = {wide_name(p, name) for p in range(1, k + 1) for name in DETAILS}
     wide |= {f"priority_{p}" for p in range(1, k + 1)}
     kept = [c for c in nearest.columns if c not in wide]
-    return nearest.select(*kept, F.inline(slots))
+    return nearest.selectExpr(*kept, f"inline(array({slots}))")
 
 
 def cell_scores(nearest: DataFrame, settings: Settings) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabgrid.functions.hexgrid import HexGrid, pack
+from cabgrid.functions.hexgrid import HexGrid, double, pack
 
 
 def ring_edges(rings: DataFrame) -> DataFrame:
@@ -26,67 +26,73 @@ def ring_edges(rings: DataFrame) -> DataFrame:
 
 
 def _row_cuts(edges: DataFrame, grid: HexGrid) -> DataFrame:
-    scale = grid.metres_per_lat / grid.row_height_m
-    south, north = F.least("y1", "y2"), F.greatest("y1", "y2")
+    """Where edges cross the centre lines of grid rows: ``(LocationID, part, r, x)``."""
+    scale, lat0 = double(grid.metres_per_lat / grid.row_height_m), double(grid.lat0)
     # One row of slack on both sides; the exact test follows.
-    rows = F.sequence(
-        F.floor((south - grid.lat0) * scale) - 1,
-        F.ceil((north - grid.lat0) * scale) + 1,
-    )
+    rows = f"""explode(sequence(floor((least(y1, y2) - {lat0}) * {scale}) - 1,
+                                ceil((greatest(y1, y2) - {lat0}) * {scale}) + 1)) AS r"""
     return (
         edges.filter("y1 <> y2")
-        .select("LocationID", "part", "x1", "y1", "x2", "y2", F.explode(rows).alias("r"))
-        .withColumn("y", grid.row_lat("r"))
-        .filter((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y")))
-        .withColumn("x", F.expr("x1 + (y - y1) * (x2 - x1) / (y2 - y1)"))
-        .select("LocationID", "part", "r", "x")
+        .selectExpr("LocationID", "part", "x1", "y1", "x2", "y2", rows)
+        .withColumn("y", F.expr(grid.row_lat_sql("r")))
+        .filter("(y1 > y) <> (y2 > y)")
+        .selectExpr("LocationID", "part", "r", "x1 + (y - y1) * (x2 - x1) / (y2 - y1) AS x")
     )
 
 
 def _inside_cells(cuts: DataFrame, grid: HexGrid) -> DataFrame:
+    """Cells between the first and second cut of a row, the third and fourth, and so on."""
     row = Window.partitionBy("LocationID", "part", "r").orderBy("x")
-    spans = (
-        cuts.withColumns({"nth": F.row_number().over(row), "x_end": F.lead("x").over(row)})
-        .filter("nth % 2 = 1")
-        .withColumnRenamed("x", "x_start")
-    )
     per_metre = grid.metres_per_lon / grid.column_width_m
 
-    def column_at(x):
-        return F.floor((F.col(x) - grid.lon0) * per_metre - F.col("r") * 0.5)
+    def column_at(x: str) -> str:
+        return f"floor(({x} - {double(grid.lon0)}) * {double(per_metre)} - r * 0.5D)"
 
+    spans = cuts.withColumns({"nth": F.row_number().over(row), "x_end": F.lead("x").over(row)}).filter("nth % 2 = 1")
     return (
-        spans.withColumn("q", F.explode(F.sequence(column_at("x_start") - 1, column_at("x_end") + 2)))
-        .withColumn("lon", grid.column_lon("q", "r"))
+        spans.selectExpr(
+            "LocationID",
+            "r",
+            "x AS x_start",
+            "x_end",
+            f"explode(sequence({column_at('x')} - 1, {column_at('x_end')} + 2)) AS q",
+        )
+        .withColumn("lon", F.expr(grid.column_lon_sql("q", "r")))
         .filter("lon >= x_start AND lon < x_end")
-        .select("LocationID", pack(F.col("q"), F.col("r")).alias("cell"))
+        .select("LocationID", pack("q", "r").alias("cell"))
     )
 
 
 def centroids(edges: DataFrame, grid: HexGrid) -> DataFrame:
     """Area centroid per zone over all its parts, holes counted out."""
-    x1, x2 = F.col("x1") - grid.lon0, F.col("x2") - grid.lon0
-    y1, y2 = F.col("y1") - grid.lat0, F.col("y2") - grid.lat0
-    cross = x1 * y2 - x2 * y1
-    by_ring = edges.groupBy("LocationID", "part", "ring_no").agg(
-        F.sum(cross).alias("area2"),
-        F.sum((x1 + x2) * cross).alias("mx"),
-        F.sum((y1 + y2) * cross).alias("my"),
-        F.sum(x1).alias("sx"),
-        F.sum(y1).alias("sy"),
-        F.count(F.lit(1)).alias("n"),
+    lon0, lat0 = double(grid.lon0), double(grid.lat0)
+    local = edges.selectExpr(
+        "LocationID",
+        "part",
+        "ring_no",
+        f"x1 - {lon0} AS x1",
+        f"x2 - {lon0} AS x2",
+        f"y1 - {lat0} AS y1",
+        f"y2 - {lat0} AS y2",
+    ).withColumn("cross", F.expr("x1 * y2 - x2 * y1"))
+    by_ring = local.groupBy("LocationID", "part", "ring_no").agg(
+        F.expr("sum(cross) AS area2"),
+        F.expr("sum((x1 + x2) * cross) AS mx"),
+        F.expr("sum((y1 + y2) * cross) AS my"),
+        F.expr("sum(x1) AS sx"),
+        F.expr("sum(y1) AS sy"),
+        F.expr("count(1) AS n"),
     )
     # Drawing direction must not matter: outlines add, holes subtract.
-    sign = F.signum("area2") * F.when(F.col("ring_no") == 0, 1.0).otherwise(-1.0)
-    by_zone = by_ring.groupBy("LocationID").agg(
-        *[F.sum(F.col(c) * sign).alias(c) for c in ("area2", "mx", "my")],
-        *[F.sum(c).alias(c) for c in ("sx", "sy", "n")],
+    signed = by_ring.withColumn("sign", F.expr("signum(area2) * IF(ring_no = 0, 1D, -1D)"))
+    by_zone = signed.groupBy("LocationID").agg(
+        *[F.expr(f"sum({c} * sign) AS {c}") for c in ("area2", "mx", "my")],
+        *[F.expr(f"sum({c}) AS {c}") for c in ("sx", "sy", "n")],
     )
-    flat = F.col("area2") == 0.0
-    return by_zone.select(
+    return by_zone.selectExpr(
         "LocationID",
-        (grid.lon0 + F.when(flat, F.col("sx") / F.col("n")).otherwise(F.col("mx") / (3.0 * F.col("area2")))).alias("lon"),
-        (grid.lat0 + F.when(flat, F.col("sy") / F.col("n")).otherwise(F.col("my") / (3.0 * F.col("area2")))).alias("lat"),
+        f"{lon0} + IF(area2 = 0, sx / n, mx / (3 * area2)) AS lon",
+        f"{lat0} + IF(area2 = 0, sy / n, my / (3 * area2)) AS lat",
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cabgrid.config import Settings
-from cabgrid.operators.demand import demand_from_trips
+from cabgrid.operators.demand import assign_cells, demand_windows, known_zone_trips
 
 
 def live_demand(
@@ -21,10 +21,11 @@ def live_demand(
 
     Event time must be a ``timestamp``: local timestamps cannot carry a watermark.
     """
-    timed = trips.withColumn(
+    known = known_zone_trips(trips, settings.unknown_zones)
+    timed = known.withColumn(
         "tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("timestamp")
     ).withWatermark("tpep_pickup_datetime", lateness)
-    return demand_from_trips(timed, zone_cells, settings, key)
+    return demand_windows(assign_cells(timed, zone_cells, key), settings)
 
 
 def write_available(demand: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

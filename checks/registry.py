@@ -33,17 +33,12 @@ S = fx.SETTINGS
 
 def comparable(df: DataFrame) -> DataFrame:
     """One numeric width, six decimals and wall-clock times, so that both engines agree."""
-    columns = []
-    for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            column = F.floor(column * 1e6 + 0.5) / F.lit(1e6)
-        elif isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-            column = column.cast("bigint")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = column.cast("timestamp_ntz")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+    forms = {
+        T.DoubleType(): "floor({0} * 1e6D + 0.5D) / 1e6D",
+        T.IntegerType(): "CAST({0} AS BIGINT)",
+        T.TimestampType(): "CAST({0} AS TIMESTAMP_NTZ)",
+    }
+    return df.selectExpr(*[forms.get(f.dataType, "{0}").format(f"`{f.name}`") + f" AS `{f.name}`" for f in df.schema])
 
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -66,7 +61,27 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 # --- shared inputs and intermediate tables -------------------------------------------------
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
+
+def stored(build: Query) -> Query:
+    """A step whose result the next steps read as a table, written once per session and input.
+
+    The undecorated step stays reachable as ``.live``; the queries of the step
+    itself use that.
+    """
+
+    def read(spark: SparkSession, sf: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf, build.__name__)
+        if key not in _STORED:
+            _STORED[key] = session.materialize(build(spark, sf), build.__name__)
+        return _STORED[key]
+
+    read.live = build
+    return read
+
+
+@stored
 def zone_cells(spark: SparkSession, sf: str) -> DataFrame:
     return zonefill.zone_cells(fx.zone_rings(spark, sf), S.grid)
 
@@ -75,10 +90,12 @@ def cell_rows(spark: SparkSession, sf: str) -> DataFrame:
     return zonefill.zone_cell_rows(zone_cells(spark, sf))
 
 
+@stored
 def demand(spark: SparkSession, sf: str) -> DataFrame:
     return dm.demand_from_trips(fx.trips(spark, sf), zone_cells(spark, sf), S, fx.trip_key())
 
 
+@stored
 def region_hours(spark: SparkSession, sf: str) -> DataFrame:
     return weather.hourly_weather(fx.region_weather(spark, sf))
 
@@ -87,18 +104,22 @@ def supplier_hours(spark: SparkSession, sf: str) -> DataFrame:
     return weather.hourly_weather(fx.supplier_weather(spark, sf))
 
 
+@stored
 def features(spark: SparkSession, sf: str) -> DataFrame:
     return ft.demand_features(demand(spark, sf), fx.zones(spark, sf), region_hours(spark, sf), S)
 
 
+@stored
 def typical(spark: SparkSession, sf: str) -> DataFrame:
     return ty.typical_demand(demand(spark, sf), "pickup_count")
 
 
+@stored
 def clean(spark: SparkSession, sf: str) -> DataFrame:
     return stations.clean_stations(fx.stations_csv(spark, sf), S, fx.station_key())
 
 
+@stored
 def nearest(spark: SparkSession, sf: str) -> DataFrame:
     return stations.nearest_table(cell_rows(spark, sf), clean(spark, sf), S.stations_per_cell)
 
@@ -113,6 +134,7 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@stored
 def recs(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.recommendations(typical(spark, sf), cell_scores(spark, sf), S)
 
@@ -228,12 +250,16 @@ def s1(spark, sf):
     )
     names = F.array(*[F.lit(name) for name, _, _ in WEATHER_PLACES])
     drivers = located(spark, sf).withColumn("borough", F.get(names, (F.col("driver_id") % 6).cast("int")))
-    return drivers.join(places, "borough").select(
-        "driver_id",
-        "borough",
-        "place_lat",
-        "place_lon",
-        hexgrid.grid_distance("driver_h3", S.grid.cell_of("place_lat", "place_lon")).alias("steps"),
+    return (
+        drivers.join(places, "borough")
+        .withColumn("place_h3", S.grid.cell_of("place_lat", "place_lon"))
+        .select(
+            "driver_id",
+            "borough",
+            "place_lat",
+            "place_lon",
+            hexgrid.grid_distance("driver_h3", "place_h3").alias("steps"),
+        )
     )
 
 
@@ -347,7 +373,7 @@ def k2(spark, sf):
 @register("k3_partitioned_by_slot", rounded("recs", RECS))
 def k3(spark, sf):
     path = session.scratch_path(spark, "recommendations")
-    writers.write_slots(recs(spark, sf), path)
+    writers.write_slots(recs.live(spark, sf), path)
     return src.read_slots(spark, path)
 
 
@@ -386,12 +412,12 @@ def k5(spark, sf):
 
 @register("p1_typed_stations", rounded("stations", {k: v for k, v in STATIONS.items() if k != "charger_h3"}))
 def p1(spark, sf):
-    return clean(spark, sf).drop("charger_h3")
+    return clean.live(spark, sf).drop("charger_h3")
 
 
 @register("p2_struct_fields", rounded("demand", {k: DEMAND[k] for k in ("window_start", "window_end", "pickup_lat", "pickup_lon", "pickup_count")}))
 def p2(spark, sf):
-    return demand(spark, sf).select("window_start", "window_end", "pickup_lat", "pickup_lon", "pickup_count")
+    return demand.live(spark, sf).select("window_start", "window_end", "pickup_lat", "pickup_lon", "pickup_count")
 
 
 TRIPS = {
@@ -414,7 +440,7 @@ def p3(spark, sf):
 
 @register("p4_demand_layout", rounded("demand", DEMAND | {"window_start_date": "s"}))
 def p4(spark, sf):
-    return demand(spark, sf)
+    return demand.live(spark, sf)
 
 
 @register("p5_role_names", rounded("pairs", PAIRS))
@@ -424,7 +450,7 @@ def p5(spark, sf):
 
 @register("p6_output_layout", rounded("stations", {k: STATIONS[k] for k in ("charger_id", "station_name", "lat", "lon")}))
 def p6(spark, sf):
-    return clean(spark, sf).select("charger_id", "station_name", "lat", "lon")
+    return clean.live(spark, sf).select("charger_id", "station_name", "lat", "lon")
 
 
 @register("p7_charger_map_points", rounded("station_points", POINTS))
@@ -443,7 +469,7 @@ def p7(spark, sf):
     ),
 )
 def p8(spark, sf):
-    return recs(spark, sf).select(
+    return recs.live(spark, sf).select(
         "origin_h3",
         "hour_of_day",
         "day_of_week",
@@ -658,7 +684,7 @@ def j4(spark, sf):
 
 @register("j5_station_details", rounded("nearest", NEAREST))
 def j5(spark, sf):
-    return nearest(spark, sf)
+    return nearest.live(spark, sf)
 
 
 @register("j6_candidate_demand", rounded("pairs", {k: v for k, v in PAIRS.items() if k != "charger_score"}))
@@ -728,22 +754,22 @@ def j9(spark, sf):
 
 @register("a1_demand_windows", rounded("demand", DEMAND))
 def a1(spark, sf):
-    return demand(spark, sf).drop("window_start_date")
+    return demand.live(spark, sf).drop("window_start_date")
 
 
 @register("a2_typical_demand", rounded("typical", {k: v for k, v in TYPICAL.items() if k != "demand_p75"}))
 def a2(spark, sf):
-    return typical(spark, sf).drop("demand_p75")
+    return typical.live(spark, sf).drop("demand_p75")
 
 
 @register("a3_typical_p75", rounded("typical", {k: v for k, v in TYPICAL.items() if k != "typical_demand"}))
 def a3(spark, sf):
-    return typical(spark, sf).drop("typical_demand")
+    return typical.live(spark, sf).drop("typical_demand")
 
 
 @register("a4_nearest_wide", rounded("nearest", {k: NEAREST[k] for k in ("LocationID", "h3_cell", "priority_1", "priority_2", "priority_3")}))
 def a4(spark, sf):
-    return nearest(spark, sf).select("LocationID", "h3_cell", "priority_1", "priority_2", "priority_3")
+    return nearest.live(spark, sf).select("LocationID", "h3_cell", "priority_1", "priority_2", "priority_3")
 
 
 @register(
@@ -881,17 +907,28 @@ def w2_calendar(spark, sf):
 @register(
     "w2_dense_series",
     query(
-        """SELECT spine.window_start, spine.pickup_h3, coalesce(sum(d.pickup_count), 0)::BIGINT AS pickup_count
+        """SELECT pickup_h3, window_start::DATE AS day, count(*) AS windows,
+      count(*) FILTER (n IS NULL) AS empty_windows, coalesce(sum(n), 0)::BIGINT AS pickups
     FROM (
       SELECT pickup_h3, unnest(generate_series(min(window_start), max(window_start), INTERVAL 5 MINUTE)) AS window_start
       FROM demand WHERE pickup_h3 IS NOT NULL GROUP BY pickup_h3) AS spine
-    LEFT JOIN demand d ON d.pickup_h3 = spine.pickup_h3 AND d.window_start = spine.window_start
+    LEFT JOIN cell_windows USING (pickup_h3, window_start)
     GROUP BY ALL""",
         "demand",
+        "cell_windows",
     ),
 )
 def w2_dense(spark, sf):
-    return sr.densify(demand(spark, sf))
+    """The dense series of all cells, summed up per cell and day."""
+    return (
+        sr.densify(demand(spark, sf))
+        .groupBy("pickup_h3", F.to_date("window_start").alias("day"))
+        .agg(
+            F.count("*").alias("windows"),
+            F.count_if(F.col("pickup_count") == 0).alias("empty_windows"),
+            F.sum("pickup_count").alias("pickups"),
+        )
+    )
 
 
 @register(
@@ -917,7 +954,7 @@ def w4(spark, sf):
 
 @register("w5_top_candidates", rounded("recs", RECS))
 def w5(spark, sf):
-    return recs(spark, sf)
+    return recs.live(spark, sf)
 
 
 @register(
@@ -1005,7 +1042,7 @@ def f8(spark, sf):
 
 @register("f9_station_ids", rounded("stations", {"charger_id": "i", "station_name": "s"}))
 def f9(spark, sf):
-    return clean(spark, sf).select("charger_id", "station_name")
+    return clean.live(spark, sf).select("charger_id", "station_name")
 
 
 FEATURE_NUMBERS = {
@@ -1034,7 +1071,7 @@ FEATURE_NUMBERS = {
 
 @register("f10_filled_features", rounded("features", KEYS | FEATURE_NUMBERS))
 def f10(spark, sf):
-    return features(spark, sf).select(*KEYS, *FEATURE_NUMBERS)
+    return features.live(spark, sf).select(*KEYS, *FEATURE_NUMBERS)
 
 
 @register("f11_charger_score", rounded("cell_scores", {"h3_cell": "i", "charger_score": "d"}))
@@ -1176,7 +1213,7 @@ def x2(spark, sf):
 
 @register("x3_zone_cells", rounded("zone_cells", {"LocationID": "i", "cell": "i"}))
 def x3(spark, sf):
-    return cell_rows(spark, sf).withColumnRenamed("h3_cell", "cell")
+    return zonefill.zone_cell_rows(zone_cells.live(spark, sf)).withColumnRenamed("h3_cell", "cell")
 
 
 @register("x3_zone_cells_fine", rounded("zone_cells_fine", {"LocationID": "i", "cell": "i"}))
@@ -1216,7 +1253,7 @@ _HOME = with_cell(f"SELECT {d(GRID.lat0)} AS lat, {d(GRID.lon0)} AS lon", out="h
     ),
 )
 def x4(spark, sf):
-    home = S.grid.cell_of(F.lit(S.grid.lat0), F.lit(S.grid.lon0))
+    home = S.grid.cell_sql(hexgrid.double(S.grid.lat0), hexgrid.double(S.grid.lon0))
     return located(spark, sf).select("driver_id", hexgrid.grid_distance("driver_h3", home).alias("steps"))
 
 
@@ -1253,21 +1290,12 @@ BLOCKS["coded"] = (
         LEFT JOIN {_codes("temp_bucket")} AS b ON f.temp_bucket = b.temp_bucket""",
 )
 
-# Assembled frames and models by session and input, so that queries share one fit.
-_FRAMES: dict[tuple[str, str], DataFrame] = {}
+# Fitted models by session and input, so that queries share one fit.
 _MODELS: dict[tuple[str, str], str] = {}
 
 
-def feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Feature rows, written once: fitting scans them many times."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FRAMES:
-        _FRAMES[key] = session.materialize(features(spark, sf), "features")
-    return _FRAMES[key]
-
-
 def encoded(spark: SparkSession, sf: str) -> DataFrame:
-    rows = feature_table(spark, sf)
+    rows = features(spark, sf)
     train, _ = ml.split_by_time(rows, S.model.cutoff)
     return ml.fit_encoder(train).transform(rows)
 
@@ -1276,7 +1304,7 @@ def model_path(spark: SparkSession, sf: str) -> str:
     """Folder of the fitted model; fitted by the first query that needs it."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        train, _ = ml.split_by_time(feature_table(spark, sf), S.model.cutoff)
+        train, _ = ml.split_by_time(features(spark, sf), S.model.cutoff)
         path = session.scratch_path(spark, "model")
         ml.save(ml.fit(train, S.model), path)
         _MODELS[key] = path
@@ -1284,7 +1312,7 @@ def model_path(spark: SparkSession, sf: str) -> str:
 
 
 def scored_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return ml.score(ml.load(model_path(spark, sf)), feature_table(spark, sf))
+    return ml.score(ml.load(model_path(spark, sf)), features(spark, sf))
 
 
 @register(
@@ -1365,20 +1393,18 @@ def m5_recs(spark, sf):
 
 
 @register(
-    "m6_persistence_metrics",
+    "m6_metrics_one_pass",
     query(
         f"""SELECT {r6("sqrt(avg(e * e))")} AS rmse, {r6("avg(abs(e))")} AS mae,
-      {r6("1 - sum(e * e) / (sum(y * y) - sum(y) * sum(y) / count(y))")} AS r2, count(*) AS row_count
-    FROM (SELECT target_pickup_count::DOUBLE AS y, (pickup_count - target_pickup_count)::DOUBLE AS e
-      FROM features WHERE window_start >= TIMESTAMP '{S.model.cutoff}') AS rows_""",
-        "features",
+      {r6("1 - sum(e * e) / (var_pop(y) * count(y))")} AS r2, count(*) AS row_count
+    FROM (SELECT fare_amount AS y, trip_distance * 3e0 + 2e0 - fare_amount AS e FROM trips) AS estimates""",
+        "trips",
     ),
 )
-def m6_persistence(spark, sf):
-    """Metrics of predicting "as now" on held-out rows."""
-    _, test = ml.split_by_time(features(spark, sf), S.model.cutoff)
-    rows = test.select(F.col(ml.LABEL).cast("double").alias(ml.LABEL), F.col("pickup_count").cast("double").alias("prediction"))
-    return ml.regression_metrics(rows)
+def m6_estimate(spark, sf):
+    """Metrics of a plain fare estimate over all trips."""
+    rows = fx.trips(spark, sf).selectExpr("fare_amount", "trip_distance * 3D + 2D AS prediction")
+    return ml.regression_metrics(rows, "fare_amount")
 
 
 @register("m6_model_metrics")
@@ -1390,7 +1416,7 @@ def m6(spark, sf):
 @register("m7_feature_importance")
 def m7(spark, sf):
     model = ml.load(model_path(spark, sf))
-    return ml.feature_importance(spark, model, ml.score(model, feature_table(spark, sf)))
+    return ml.feature_importance(spark, model, ml.score(model, features(spark, sf)))
 
 
 @register("k6_model_reload", query("SELECT count(*) AS row_count, 0::BIGINT AS mismatches FROM features", "features"))
@@ -1400,7 +1426,7 @@ def k6(spark, sf):
     path = session.scratch_path(spark, "model-copy")
     ml.save(first, path)
     again = ml.load(path)
-    rows = feature_table(spark, sf)
+    rows = features(spark, sf)
     made = ("features", "weather_type_index", "temperature_bucket_index", "weather_type_vec", "temperature_bucket_vec")
     both = ml.score(again, ml.score(first, rows).withColumnRenamed("prediction", "saved").drop(*made))
     return both.agg(
@@ -1422,7 +1448,7 @@ def k6(spark, sf):
 def t1(spark, sf):
     """The demand aggregate as a stream over the event file; windows behind the watermark are final."""
     schema = fx.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     rows = live.live_demand(fx.trips_from_events(stream), zone_cells(spark, sf), S, fx.trip_key())
     path = session.scratch_path(spark, "live-demand")
     live.write_available(rows, path, session.scratch_path(spark, "live-offsets")).awaitTermination()
