@@ -13,25 +13,31 @@ def known_zone_trips(trips: DataFrame, unknown: tuple[int, ...]) -> DataFrame:
     return trips.filter(~F.col("PULocationID").isin(*unknown))
 
 
-def assign_cells(trips: DataFrame, zone_cells: DataFrame, key: Column | None = None) -> DataFrame:
-    """Give each trip one cell of its pickup zone, spread by ``key``.
+def assign_cells(
+    trips: DataFrame, zone_cells: DataFrame, key: Column | None = None, spread: int = 1
+) -> DataFrame:
+    """Give each trip one cell of its pickup zone, picked by ``key``.
 
     Trips name only a zone, so a cell is picked. The pick depends on the trip
     alone, which keeps retries and reruns equal. Trips of an unmapped zone
-    keep a NULL cell. The join is left to the planner: a map of metropolitan
-    size is broadcast, a larger one is shuffled with hot zones split.
+    keep a NULL cell.
+
+    The join carries no hint. A map below Spark's broadcast threshold is
+    broadcast; a larger one is shuffled and adaptive execution splits busy
+    zones. Streams run without adaptive execution: for a large map there,
+    ``spread`` copies each zone that many times and splits its trips evenly.
     """
     if key is None:
         key = F.xxhash64(*trips.columns)
-    return (
-        trips.withColumn("pick_key", key)
-        .join(zone_cells, F.col("PULocationID") == F.col("LocationID"), "left")
-        .withColumn(
-            "pickup_h3",
-            F.get("h3_cells", F.pmod("pick_key", F.size("h3_cells").cast("bigint")).cast("int")),
-        )
-        .drop("h3_cells", "LocationID", "pick_key")
-    )
+    keyed = trips.withColumn("pick_key", key)
+    cells = zone_cells.select(F.col("LocationID").cast("bigint").alias("PULocationID"), "h3_cells")
+    on = ["PULocationID"]
+    if spread > 1:
+        keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("pick_key"), F.lit(spread)))
+        cells = cells.withColumn("salt", F.explode(F.expr(f"sequence(0L, {spread - 1}L)")))
+        on.append("salt")
+    picked = F.expr("get(h3_cells, CAST(pmod(pick_key, size(h3_cells)) AS INT))")
+    return keyed.join(cells, on, "left").select(*trips.columns, picked.alias("pickup_h3"))
 
 
 def demand_windows(trips: DataFrame, settings: Settings) -> DataFrame:

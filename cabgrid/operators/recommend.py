@@ -28,7 +28,9 @@ def candidates(typical: DataFrame, k: int) -> DataFrame:
     pairs by origin and slot, which scoring and ranking use again.
     """
     roles = {"pickup_h3": "candidate_h3", "typical_demand": "candidate_demand", "demand_p75": "candidate_p75"}
-    offered = typical.withColumnsRenamed(roles).withColumn("step", F.explode(steps_around(k)))
+    # The table is small next to its pairs, so it is spread over all tasks before it grows.
+    spread = typical.repartition("pickup_h3", *SLOT)
+    offered = spread.withColumnsRenamed(roles).withColumn("step", F.explode(steps_around(k)))
     kept = [c for c in offered.columns if c not in ("step", "candidate_h3", *SLOT)]
     pairs = offered.selectExpr(
         "candidate_h3 - step.offset AS origin_h3",

@@ -143,6 +143,8 @@ def densify(demand: DataFrame, window_seconds: int = 300, value: str = "pickup_c
     spine = (
         span.withColumn("windows", F.floor((F.col("last_at") - F.col("first_at")) / step))
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor(F.col("windows") / F.lit(day_steps)))))
+        # Few cells make many windows: spread the days before they grow.
+        .repartition(CELL, "chunk")
         .withColumn(
             "i",
             F.explode(

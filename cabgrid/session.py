@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # Lookup joins carry no hint: Spark broadcasts a side only below its size
     # threshold, and otherwise sort-merges and splits hot keys.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split them even where an aggregate or window on the join key follows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A rerun replaces only the partitions it writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -37,6 +39,8 @@ def local_session(app: str = "cabgrid", cpus: str = "*", shuffle_partitions: int
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        # Slot tables have 168 folders; listing those is no job of its own here.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "1000")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in RUNTIME_CONF.items():
