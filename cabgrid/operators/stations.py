@@ -11,8 +11,9 @@ from cabgrid.functions.hexgrid import AXIS_BITS, grid_distance, pack_sql, q_sql,
 
 DETAILS = ("station_name", "lat", "lon", "fast_chargers", "level2_chargers", "charger_h3")
 
-# Tile edges in cells, coarse to fine. The first splits the whole id range in
-# four, the last is a single cell.
+# Tile edges in cells, coarse to fine, as powers of two. The first splits the
+# whole id range in four, the second is wider than a metropolitan area (about
+# 400 km), the last is a single cell.
 TILE_BITS = (AXIS_BITS - 1, 9, 6, 3, 0)
 
 
@@ -77,6 +78,9 @@ def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataF
     tiles below those it kept, it keeps the ones whose closest point is no
     farther than the distance within which ``k`` stations are certain. At tile
     size 1 that distance is exact. Equal distances go to the lower station id.
+
+    A level meets at most 64 tiles below each tile kept, and few are kept: those
+    along the edge of what is near.
     """
     # Of stations in one cell only the k lowest ids can ever be chosen.
     in_cell = Window.partitionBy("charger_h3").orderBy("charger_id")

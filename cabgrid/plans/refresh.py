@@ -46,8 +46,13 @@ def refresh(
     settings: Settings,
     trip_key: Column | None = None,
     station_key: Column | None = None,
+    typical_from_test_rows: bool = False,
 ) -> dict[str, DataFrame]:
-    """Build and write all tables; returns them by name."""
+    """Build and write all tables; returns them by name.
+
+    Typical demand averages the predictions of all rows, or only of the rows
+    the model was not trained on.
+    """
     grid = settings.grid
     tables: dict[str, DataFrame] = {}
 
@@ -72,7 +77,9 @@ def refresh(
     model = ml.fit(train, settings.model)
     ml.save(model, layout.path("gbt_model"))
     predictions = keep("demand_predictions", ml.predictions_table(ml.score(model, rows)))
-    slots = keep("typical_demand_lookup", typical.typical_demand(predictions))
+    _, unseen = ml.split_by_time(predictions, settings.model.cutoff)
+    averaged = unseen if typical_from_test_rows else predictions
+    slots = keep("typical_demand_lookup", typical.typical_demand(averaged))
 
     nearest = keep(
         "nearest_chargers",

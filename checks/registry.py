@@ -61,11 +61,11 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 # --- shared inputs and intermediate tables -------------------------------------------------
 
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
 def stored(build: Query) -> Query:
-    """A step whose result the next steps read as a table, written once per session and input.
+    """A step whose result the next steps read as a table, written once per application and input.
 
     The undecorated step stays reachable as ``.live``; the queries of the step
     itself use that.
@@ -74,8 +74,10 @@ def stored(build: Query) -> Query:
     def read(spark: SparkSession, sf: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, sf, build.__name__)
         if key not in _STORED:
-            _STORED[key] = session.materialize(build(spark, sf), build.__name__)
-        return _STORED[key]
+            df = build(spark, sf)
+            _STORED[key] = written(spark, df, build.__name__), df.schema
+        path, schema = _STORED[key]
+        return src.read_parquet(spark, path, schema)
 
     read.live = build
     return read
