@@ -13,8 +13,8 @@ DETAILS = ("station_name", "lat", "lon", "fast_chargers", "level2_chargers", "ch
 
 # Tile edges in cells, coarse to fine, as powers of two. The first splits the
 # whole id range in four, the second is wider than a metropolitan area (about
-# 400 km), the last is a single cell.
-TILE_BITS = (AXIS_BITS - 1, 9, 6, 3, 0)
+# 400 km), the last are blocks of four by four cells.
+TILE_BITS = (AXIS_BITS - 1, 9, 6, 4, 2)
 
 
 def clean_stations(raw: DataFrame, settings: Settings, key: Column | None = None) -> DataFrame:
@@ -76,8 +76,10 @@ def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataF
     Cells and stations are not paired with each other. Stations are counted in
     a pyramid of tiles, and each cell walks down from the coarsest: of the
     tiles below those it kept, it keeps the ones whose closest point is no
-    farther than the distance within which ``k`` stations are certain. At tile
-    size 1 that distance is exact. Equal distances go to the lower station id.
+    farther than the distance within which ``k`` stations are certain. Of the
+    station cells in the last tiles the first ``k`` are kept, by distance and
+    lowest station id; they hold the answer. Equal distances go to the lower
+    station id.
 
     A level meets at most 64 tiles below each tile kept, and few are kept: those
     along the edge of what is near.
@@ -92,8 +94,8 @@ def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataF
     )
     occupied = (
         local.groupBy("charger_h3")
-        .agg(F.count("*").alias("n"))
-        .selectExpr("n", f"{q_sql('charger_h3')} AS q", f"{r_sql('charger_h3')} AS r")
+        .agg(F.count("*").alias("n"), F.min("charger_id").alias("lowest_id"))
+        .selectExpr("charger_h3", "n", "lowest_id", f"{q_sql('charger_h3')} AS q", f"{r_sql('charger_h3')} AS r")
     )
     roots = ", ".join(pack_sql(str(q), str(r)) for q in (-1, 0) for r in (-1, 0))
     walk = (
@@ -119,11 +121,18 @@ def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataF
             .filter("enough_at IS NULL OR d_min <= enough_at")
             .selectExpr("h3_cell", "tile AS kept")
         )
+    last = occupied.selectExpr(f"{_tile(TILE_BITS[-1])} AS parent", "charger_h3 AS at", "lowest_id")
+    near = (
+        walk.join(last, walk["kept"] == last["parent"])
+        .withColumn("charger_distance", grid_distance("h3_cell", "at"))
+        .withColumn("nth", F.row_number().over(by_cell.orderBy("charger_distance", "lowest_id")))
+        .filter(F.col("nth") <= k)
+        .select("h3_cell", "at", "charger_distance")
+    )
     nearest_first = by_cell.orderBy("charger_distance", "charger_id")
     return (
-        walk.join(local, walk["kept"] == local["charger_h3"])
-        .drop("kept")
-        .withColumn("charger_distance", grid_distance("h3_cell", "charger_h3"))
+        near.join(local, near["at"] == local["charger_h3"])
+        .drop("at")
         .withColumn("priority", F.row_number().over(nearest_first))
         .filter(F.col("priority") <= k)
     )
