@@ -47,11 +47,9 @@ def register(spark: SparkSession, name: str, path: str) -> DataFrame:
     """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
-    table = spark.table(name)
-    if spark.catalog.listColumns(name) and any(c.isPartition for c in spark.catalog.listColumns(name)):
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
-        table = spark.table(name)
-    return table
+    return spark.table(name)
 
 
 def export(tables: Mapping[str, DataFrame], base: str) -> dict[str, str]:

@@ -149,7 +149,7 @@ def weather_of(places: str) -> str:
     """
 
 
-def station_pick(priority: int, names: str = "name_lat") -> str:
+def station_pick(priority: int) -> str:
     """Columns of one priority in the wide station table."""
     p = priority
     picked = [f"max(charger_id) FILTER (priority = {p}) AS priority_{p}"]

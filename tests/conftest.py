@@ -1,4 +1,3 @@
-import duckdb
 import pytest
 
 from cabgrid.session import local_session
@@ -14,16 +13,6 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(scope="session")
-def duck():
-    from checks.compare import duck as connect
-
-    def at(sf: str) -> duckdb.DuckDBPyConnection:
-        return connect(sf)
-
-    return at
-
-
 @pytest.fixture
 def conf(spark):
     """Change settings for one test."""
