@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,8 +18,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split them even where an aggregate or window on the join key follows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A rerun replaces only the partitions it writes.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -51,24 +48,30 @@ def local_session(app: str = "cabgrid", cpus: str = "*", shuffle_partitions: int
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach; the same rule on every master.
 
-    Where the setting is missing, a temporary folder is made on a local master
-    only; on a cluster a machine-local folder would be lost with its machine.
+    ``spark.checkpoint.dir`` where it is set, else the folder given to
+    ``SparkContext.setCheckpointDir``, else ``_scratch`` in the warehouse.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="cabgrid-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let ``DataFrame.checkpoint`` write to the shared folder where no folder is set yet."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one folder made by ``scratch_path``; anything outside the shared folder is refused."""
+    if not path.startswith(f"{shared_dir(spark)}/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
