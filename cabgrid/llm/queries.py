@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cabgrid import session
-from cabgrid.llm import exact_dedup, mixing, packing, token_files
+from cabgrid.llm import exact_dedup, mixing, near_dedup, packing, substring_dedup, token_files
 from cabgrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,12 +36,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@register("op2_minhash_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its near-copies and whether it stays."""
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 @register("op5_token_id_planes")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written to plane shards and read back from them."""
     return token_files.write_and_read(table(spark, sf_dir, "documents"))
 
 
+@register("op6_substring_dedup", substring_dedup.SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words, how many of them repeat an earlier document, and the rest's digest."""
+    found = substring_dedup.cleaned(table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 OP7_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
