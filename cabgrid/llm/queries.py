@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cabgrid import session
-from cabgrid.llm import exact_dedup, mixing, near_dedup, packing, substring_dedup, token_files
-from cabgrid.llm.common import table
+from cabgrid.llm import (
+    exact_dedup,
+    fingerprints,
+    html_text,
+    language_id,
+    mixing,
+    near_dedup,
+    packing,
+    substring_dedup,
+    token_files,
+    toxicity,
+)
+from cabgrid.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +53,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
 
 
+@register("op3_document_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
+
+
+@register("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from those that aren't held out."""
+    found = language_id.identified(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages")
+
+
 @register("op5_token_id_planes")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written to plane shards and read back from them."""
@@ -68,6 +92,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@register("op8_html_extraction")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+@register("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that aren't held out."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op10_mixing", mixing.mixing_sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its margins, its calibrated probability, and whether it is kept."""
