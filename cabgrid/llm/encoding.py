@@ -29,11 +29,11 @@ import regex
 
 #: Pieces remembered by one worker, about 200 bytes each. Only speed depends on it.
 REMEMBERED = 600_000
-#: At most one blank, then visible characters below U+0250.
-PLAIN = re.compile("[ ]?[\x21-\x7e\xa1-\u024f]+").fullmatch
-BEYOND = re.compile("[\u0250-\U0010ffff]").search
+#: At most one blank, then visible characters below U+0250 whose lower case is one letter.
+PLAIN = re.compile("[ ]?[\x21-\x7e\xa1-\u012f\u0131-\u024f]+").fullmatch
+BEYOND = re.compile("[\u0130\u0250-\U0010ffff]").search
 #: A full stop or comma that follows no letter or digit.
-ODD_STOP = re.compile("(?:^|[^a-zA-Z0-9\xc0-\xd6\xd8-\xf6\xf8-\u024f])[,.]").search
+ODD_STOP = re.compile("(?:^|[^a-zA-Z0-9\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f])[,.]").search
 #: Blanks beside other white space, or the mark that stands for a cut.
 ODD_BLANK = re.compile(" [ \t-\r\x1c-\x1f\x85]|\0").search
 OPENS = re.compile(r"(?= [^\s\x1c-\x1f\x85])")
