@@ -65,6 +65,9 @@ class Settings:
     grid: HexGrid = field(default_factory=HexGrid)
     window: str = "5 minutes"
     row_lags: tuple[int, ...] = (1, 12, 288)
+    # How the model looks back: "rows" counts observed windows, "calendar" looks exactly so many
+    # windows back, "dense" counts rows after windows without pickups are added.
+    lag_kind: str = "rows"
     ring: int = 4
     stations_per_cell: int = 3
     top: int = 5

@@ -25,6 +25,20 @@ def in_box(lat: Column | str, lon: Column | str, box: Box) -> Column:
     return _col(lat).between(box.lat_min, box.lat_max) & _col(lon).between(box.lon_min, box.lon_max)
 
 
+def whole_number_sql(value: str) -> str:
+    """Whole part of a number, also where text writes it with a point; NULL where there is none."""
+    return f"try_cast(try_cast({value} AS DOUBLE) AS INT)"
+
+
+def whole_number(value: str) -> Column:
+    return F.expr(whole_number_sql(f"`{value}`"))
+
+
+def zero_if_none(value: str) -> Column:
+    """Whole part of a number; NULL, NaN and unreadable text become 0."""
+    return F.coalesce(whole_number(value), F.lit(0))
+
+
 def safe_int_sql(value: str) -> str:
     return f"coalesce(try_cast({value} AS INT), 0)"
 
@@ -67,7 +81,12 @@ def temp_bucket(temp: Column | str) -> Column:
 
 
 def charger_score(counts: list[tuple[str, str]], weights: Weights) -> Column:
-    """Weighted charger count over the nearest stations, given as (fast, level 2) columns."""
+    """Weighted charger count over the nearest stations, given as (fast, level 2) columns.
+
+    Every station needs a discount of its own: a different number of both is an error.
+    """
+    if len(counts) != len(weights.by_priority):
+        raise ValueError(f"{len(counts)} stations per cell, but {len(weights.by_priority)} discounts by priority")
     parts = [
         f"(coalesce({fast}, 0) * {double(weights.fast)} + coalesce({level2}, 0) * {double(weights.level2)})"
         f" * {double(discount)}"

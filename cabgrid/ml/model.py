@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabgrid.config import ModelConfig
+from cabgrid import session
+from cabgrid.config import ModelConfig, Settings
 from cabgrid.operators.series import lag_name
 
 LABEL = "target_pickup_count"
 
-# Model inputs in vector order; the two *_vec columns are one-hot.
-FEATURES = [
+# Model inputs in vector order, before the lags; the two *_vec columns are one-hot.
+BEFORE_LAGS = [
     "pickup_count",
     "avg_trip_distance",
     "avg_fare",
@@ -31,19 +34,25 @@ FEATURES = [
     "temperature_bucket_vec",
     "window_start_hour",
     "day_of_week",
-    lag_name(1),
-    lag_name(12),
-    lag_name(288),
 ]
 
 
+def feature_names(lags: Sequence[str]) -> list[str]:
+    """Model inputs in vector order: the fixed ones, then the lag columns."""
+    return [*BEFORE_LAGS, *lags]
+
+
+#: Model inputs with the lags of the default settings.
+FEATURES = feature_names([lag_name(n) for n in Settings().row_lags])
+
+
 def split_by_time(rows: DataFrame, cutoff: str) -> tuple[DataFrame, DataFrame]:
     """Rows before the cutoff for training, the rest for testing."""
     at = F.to_timestamp(F.lit(cutoff))
     return rows.filter(F.col("window_start") < at), rows.filter(F.col("window_start") >= at)
 
 
-def encoder() -> Pipeline:
+def encoder(inputs: Sequence[str] = FEATURES) -> Pipeline:
     """Category indexes, one-hot vectors and the assembled ``features`` vector."""
     indexer = StringIndexer(
         inputCols=["weather_type", "temp_bucket"],
@@ -54,7 +63,7 @@ def encoder() -> Pipeline:
         inputCols=["weather_type_index", "temperature_bucket_index"],
         outputCols=["weather_type_vec", "temperature_bucket_vec"],
     )
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
     return Pipeline(stages=[indexer, one_hot, assembler])
 
 
@@ -71,15 +80,24 @@ def regressor(config: ModelConfig) -> GBTRegressor:
     )
 
 
-def fit_encoder(train: DataFrame) -> PipelineModel:
+def fit_encoder(train: DataFrame, inputs: Sequence[str] = FEATURES) -> PipelineModel:
     """Categories are learned from training rows only."""
-    return encoder().fit(train)
-
-
-def fit(train: DataFrame, config: ModelConfig) -> PipelineModel:
-    """Encoder and trees as one model. ``train`` is scanned once per tree level: pass a written table."""
-    encoded = fit_encoder(train)
-    trees = regressor(config).fit(encoded.transform(train))
+    return encoder(inputs).fit(train)
+
+
+def fit(
+    train: DataFrame, config: ModelConfig, inputs: Sequence[str] = FEATURES, partitions: int | None = None
+) -> PipelineModel:
+    """Encoder and trees as one model. ``train`` is scanned once per tree level: pass a written table.
+
+    ``partitions`` spreads the training rows over so many tasks; files of a
+    small table would else give fewer tasks than cores. Every tenth tree cuts
+    its lineage, which needs a checkpoint folder: the shared one is set if none is.
+    """
+    session.ensure_checkpoint_dir(train.sparkSession)
+    encoded = fit_encoder(train, inputs)
+    rows = train if partitions is None else train.repartition(partitions)
+    trees = regressor(config).fit(encoded.transform(rows))
     return PipelineModel(stages=[*encoded.stages, trees])
 
 
@@ -107,7 +125,8 @@ def predictions_table(scored: DataFrame) -> DataFrame:
 
 
 def regression_metrics(rows: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
-    """``rmse``, ``mae`` and ``r2`` in one pass."""
+    """``rmse``, ``mae`` and ``r2`` in one pass over the rows that have both values."""
+    rows = rows.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     y, error = F.col(label), F.col(prediction) - F.col(label)
     total = F.var_pop(y) * F.count(y)
     return rows.agg(

@@ -7,37 +7,39 @@ from pyspark.sql import functions as F
 
 from cabgrid.config import Settings
 
+# Measures of a trip and the names of their averages in the demand table.
+AVERAGES = {
+    "trip_distance": "avg_trip_distance",
+    "fare_amount": "avg_fare",
+    "average_speed_mph": "avg_speed",
+    "tip_percentage": "avg_tip_pct",
+    "passenger_count": "avg_passengers",
+}
 
 def known_zone_trips(trips: DataFrame, unknown: tuple[int, ...]) -> DataFrame:
     """Trips with a known pickup zone; a NULL zone is dropped as well."""
     return trips.filter(~F.col("PULocationID").isin(*unknown))
 
 
-def assign_cells(
-    trips: DataFrame, zone_cells: DataFrame, key: Column | None = None, spread: int = 1
-) -> DataFrame:
+def assign_cells(trips: DataFrame, zone_cells: DataFrame, key: Column | None = None) -> DataFrame:
     """Give each trip one cell of its pickup zone, picked by ``key``.
 
     Trips name only a zone, so a cell is picked. The pick depends on the trip
-    alone, which keeps retries and reruns equal. Trips of an unmapped zone
-    keep a NULL cell.
+    alone, which keeps retries and reruns equal. Trips of an unmapped zone, or
+    of one without cells, keep a NULL cell.
 
-    The join carries no hint. A map below Spark's broadcast threshold is
-    broadcast; a larger one is shuffled and adaptive execution splits busy
-    zones. Streams run without adaptive execution: for a large map there,
-    ``spread`` copies each zone that many times and splits its trips evenly.
+    Each zone's number of cells, two numbers a zone, picks the position; zone
+    and position then pick the cell. A busy zone is thereby split over its
+    cells, and no list of cells travels with a trip.
     """
     if key is None:
         key = F.xxhash64(*trips.columns)
-    keyed = trips.withColumn("pick_key", key)
-    cells = zone_cells.select(F.col("LocationID").cast("bigint").alias("PULocationID"), "h3_cells")
-    on = ["PULocationID"]
-    if spread > 1:
-        keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("pick_key"), F.lit(spread)))
-        cells = cells.withColumn("salt", F.explode(F.expr(f"sequence(0L, {spread - 1}L)")))
-        on.append("salt")
-    picked = F.expr("get(h3_cells, CAST(pmod(pick_key, size(h3_cells)) AS INT))")
-    return keyed.join(cells, on, "left").select(*trips.columns, picked.alias("pickup_h3"))
+    zone = F.col("LocationID").cast("bigint").alias("PULocationID")
+    sizes = zone_cells.select(zone, F.size("h3_cells").alias("n_cells"))
+    cells = zone_cells.select(zone, F.posexplode("h3_cells").alias("position", "pickup_h3"))
+    position = F.when(F.col("n_cells") > 0, F.pmod(key, F.col("n_cells"))).cast("int")
+    placed = trips.join(sizes, "PULocationID", "left").withColumn("position", position)
+    return placed.join(cells, ["PULocationID", "position"], "left").select(*trips.columns, "pickup_h3")
 
 
 def demand_windows(trips: DataFrame, settings: Settings) -> DataFrame:
@@ -53,11 +55,7 @@ def demand_windows(trips: DataFrame, settings: Settings) -> DataFrame:
         "pickup_h3",
     ).agg(
         F.count("*").alias("pickup_count"),
-        F.avg("trip_distance").alias("avg_trip_distance"),
-        F.avg("fare_amount").alias("avg_fare"),
-        F.avg("average_speed_mph").alias("avg_speed"),
-        F.avg("tip_percentage").alias("avg_tip_pct"),
-        F.avg("passenger_count").alias("avg_passengers"),
+        *[F.avg(measure).alias(name) for measure, name in AVERAGES.items()],
     )
     return (
         grouped.withColumn("center", grid.center_of("pickup_h3"))
@@ -69,11 +67,7 @@ def demand_windows(trips: DataFrame, settings: Settings) -> DataFrame:
             F.col("center.lon").alias("pickup_lon"),
             "pickup_h3",
             "pickup_count",
-            "avg_trip_distance",
-            "avg_fare",
-            "avg_speed",
-            "avg_tip_pct",
-            "avg_passengers",
+            *AVERAGES.values(),
         )
         .withColumn("window_start_date", F.to_date("window_start"))
     )

@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabgrid.config import Settings
-from cabgrid.operators.series import lag_name, row_lags
+from cabgrid.operators.demand import AVERAGES
+from cabgrid.operators.series import calendar_lags, densify, lag_name, row_lags
 
-AVERAGES = ("avg_trip_distance", "avg_fare", "avg_speed", "avg_tip_pct", "avg_passengers")
 WEATHER_NUMBERS = ("temp_2m", "rain", "snow", "wind", "is_raining", "is_snowing")
 
 
 def add_borough(demand: DataFrame, zones: DataFrame) -> DataFrame:
-    """Borough of the pickup zone; zone ids may be text in ``zones``."""
-    lookup = zones.select(
-        F.col("LocationID").try_cast("bigint").alias("pickup_zone_id"), F.col("Borough").alias("borough")
+    """Borough of the pickup zone; zone ids may be text in ``zones``.
+
+    Of a zone listed more than once the first borough in the alphabet counts,
+    so a repeat never multiplies demand.
+    """
+    lookup = zones.groupBy(F.col("LocationID").try_cast("bigint").alias("pickup_zone_id")).agg(
+        F.min("Borough").alias("borough")
     )
     return demand.join(lookup, "pickup_zone_id", "left")
 
@@ -33,11 +37,42 @@ def add_slot(df: DataFrame, hour: str = "hour_of_day", day: str = "day_of_week")
     return df.withColumns({hour: F.hour("window_start"), day: F.dayofweek("window_start")})
 
 
+def lag_names(settings: Settings) -> list[str]:
+    """Lag columns in the order of the settings."""
+    return [lag_name(n) for n in settings.row_lags]
+
+
+def lagged(demand: DataFrame, settings: Settings) -> DataFrame:
+    """Target and lags by ``settings.lag_kind``; the columns have the same names for every kind."""
+    if settings.lag_kind == "rows":
+        return row_lags(demand, settings.row_lags)
+    if settings.lag_kind == "calendar":
+        step = window_seconds(settings)
+        back = {n: n * step for n in settings.row_lags}
+        # Looked back over before the next window is added, so both keep their own layout.
+        earlier = calendar_lags(demand, list(back.values()))
+        keys = [c for c in demand.columns if c in ("window_start", "pickup_zone_id", "pickup_h3")]
+        named = earlier.select(*keys, *[F.col(f"demand_{s}s_ago").alias(lag_name(n)) for n, s in back.items()])
+        return row_lags(demand, ()).join(named, keys)
+    if settings.lag_kind == "dense":
+        filled = densify(demand, window_seconds(settings)).withColumn("pickup_zone_id", F.lit(0).cast("bigint"))
+        names = [*lag_names(settings), "target_pickup_count"]
+        dense = row_lags(filled, settings.row_lags).select("window_start", "pickup_h3", *names)
+        return demand.join(dense, ["window_start", "pickup_h3"])
+    raise ValueError(f"no kind of lags is called {settings.lag_kind}")
+
+
+def window_seconds(settings: Settings) -> int:
+    """Length of a demand window, given as ``<n> minutes`` or ``<n> seconds``."""
+    number, unit = settings.window.split()
+    return int(number) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
+
+
 def demand_features(
     demand: DataFrame, zones: DataFrame, weather: DataFrame, settings: Settings
 ) -> DataFrame:
     """Feature rows with target. The series is shuffled while it is narrow, lookups follow."""
-    rows = row_lags(demand, settings.row_lags).filter(F.col("target_pickup_count").isNotNull())
+    rows = lagged(demand, settings).filter(F.col("target_pickup_count").isNotNull())
     joined = add_weather(add_borough(rows, zones), weather)
-    filled = [*AVERAGES, *WEATHER_NUMBERS, *[lag_name(n) for n in settings.row_lags]]
+    filled = [*AVERAGES.values(), *WEATHER_NUMBERS, *lag_names(settings)]
     return add_slot(joined, "window_start_hour", "day_of_week").na.fill(0, subset=filled)

@@ -20,7 +20,9 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def trip_rejects(trips: DataFrame, zone_cells: DataFrame, unknown: tuple[int, ...]) -> DataFrame:
     """Trips in total, without a zone, with an unknown zone and with a zone that has no cells."""
-    mapped = zone_cells.select(F.col("LocationID").cast("bigint").alias("PULocationID"), F.lit(True).alias("mapped"))
+    with_cells = zone_cells.filter(F.size("h3_cells") > 0)
+    mapped = with_cells.select(F.col("LocationID").cast("bigint").alias("PULocationID"), F.lit(True).alias("mapped"))
+    mapped = mapped.distinct()
     # Few zones, many trips: count per zone first, then look zones up.
     per_zone = trips.groupBy("PULocationID").agg(F.count("*").alias("n")).join(mapped, "PULocationID", "left")
     zone = F.col("PULocationID")
@@ -36,6 +38,11 @@ def trip_rejects(trips: DataFrame, zone_cells: DataFrame, unknown: tuple[int, ..
     )
 
 
+def zones_without_cells(zone_cells: DataFrame) -> DataFrame:
+    """Zone ids whose list of cells is empty or missing; their trips get no cell."""
+    return zone_cells.filter(F.coalesce(F.size("h3_cells"), F.lit(0)) <= 0).select("LocationID")
+
+
 def repeated_zones(zone_cells: DataFrame) -> DataFrame:
     """Zone ids that occur more than once and would multiply trips in the join."""
     return zone_cells.groupBy("LocationID").agg(F.count("*").alias("row_count")).filter("row_count > 1")

@@ -19,17 +19,20 @@ def candidate_cells(cells: DataFrame, k: int, cell: str = "pickup_h3") -> DataFr
     )
 
 
-def candidates(typical: DataFrame, k: int) -> DataFrame:
+def candidates(typical: DataFrame, k: int, tasks: int | None = None) -> DataFrame:
     """Pairs of origin and candidate that both have demand in a slot.
 
     "Within ``k`` steps" holds both ways, so every row offers itself to the
     origins around it and already carries its demand. What is left to check is
     that the origin has demand in the slot too. That is one shuffle of the
-    pairs by origin and slot, which scoring and ranking use again.
+    pairs by origin and slot, which scoring and ranking use again. A row makes up
+    to ``3 k (k + 1)`` pairs; ``tasks`` says over how many tasks they are made
+    (the number of shuffle partitions if not given).
     """
     roles = {"pickup_h3": "candidate_h3", "typical_demand": "candidate_demand", "demand_p75": "candidate_p75"}
-    # The table is small next to its pairs, so it is spread over all tasks before it grows.
-    spread = typical.repartition("pickup_h3", *SLOT)
+    # Adaptive execution would merge the small partitions again, but for a stated number of them.
+    tasks = tasks or int(typical.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = typical.repartition(tasks, "pickup_h3", *SLOT)
     offered = spread.withColumnsRenamed(roles).withColumn("step", F.explode(steps_around(k)))
     kept = [c for c in offered.columns if c not in ("step", "candidate_h3", *SLOT)]
     pairs = offered.selectExpr(

@@ -82,7 +82,7 @@ def row_lags(
     left out.
     """
     series = demand.filter(F.col(CELL).isNotNull())
-    plan = block_plan(series, max(lags), rows_per_block)
+    plan = block_plan(series, max(lags, default=0), rows_per_block)
     copied = (
         series.withColumn("day", _day())
         .join(plan, [CELL, "day"])
@@ -128,12 +128,16 @@ def calendar_lags(
     return copied.withColumns(columns).filter("reader = day").drop("reader", "day", "at")
 
 
-def densify(demand: DataFrame, window_seconds: int = 300, value: str = "pickup_count") -> DataFrame:
+def densify(
+    demand: DataFrame, window_seconds: int = 300, value: str = "pickup_count", tasks: int | None = None
+) -> DataFrame:
     """Every window between a cell's first and last one, with 0 where nothing was observed.
 
     The spine is built per cell and day, so no row or group ever holds more
-    than the windows of one day.
+    than the windows of one day. ``tasks`` says over how many tasks the days
+    grow (the number of shuffle partitions if not given).
     """
+    tasks = tasks or int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     series = demand.filter(F.col(CELL).isNotNull())
     at = F.col(START).cast("timestamp").cast("bigint")
     totals = series.groupBy(CELL, at.alias("at")).agg(F.sum(value).alias(value))
@@ -143,8 +147,8 @@ def densify(demand: DataFrame, window_seconds: int = 300, value: str = "pickup_c
     spine = (
         span.withColumn("windows", F.floor((F.col("last_at") - F.col("first_at")) / step))
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor(F.col("windows") / F.lit(day_steps)))))
-        # Few cells make many windows: spread the days before they grow.
-        .repartition(CELL, "chunk")
+        # Few cells make many windows; a stated number of partitions isn't merged again.
+        .repartition(tasks, CELL, "chunk")
         .withColumn(
             "i",
             F.explode(

@@ -140,13 +140,13 @@ def intensity(typical: DataFrame, frame: tuple[str, ...] = SLOT, epsilon: float
     """Demand scaled to [0, 1] within each frame of the view.
 
     A frame may hold every cell, so its extremes are aggregated and joined
-    back. There are at most 24 x 7 frames, a fixed bound for the broadcast.
+    back; Spark decides how by their size.
     """
     extremes = typical.groupBy(*frame).agg(
         F.min("typical_demand").alias("low"), F.max("typical_demand").alias("high")
     )
     return (
-        typical.join(F.broadcast(extremes), list(frame))
+        typical.join(extremes, list(frame))
         .withColumn(
             "intensity", scalars.min_max("typical_demand", "low", "high", epsilon)
         )

@@ -20,7 +20,8 @@ TILE_BITS = (AXIS_BITS - 1, 9, 6, 4, 2)
 def clean_stations(raw: DataFrame, settings: Settings, key: Column | None = None) -> DataFrame:
     """Typed stations inside the station box, with a stable id and their cell.
 
-    Unreadable coordinates drop a row, unreadable counts become NULL. The id is
+    Unreadable coordinates drop a row, unreadable counts become NULL. A count
+    with a point is readable and counts by its whole part. The id is
     ``key``, else a hash of the row's text, so it does not depend on how the
     file was split.
     """
@@ -29,8 +30,8 @@ def clean_stations(raw: DataFrame, settings: Settings, key: Column | None = None
         F.col("Station Name").alias("station_name"),
         scalars.number_or_null("Latitude").alias("lat"),
         scalars.number_or_null("Longitude").alias("lon"),
-        F.col("EV DC Fast Count").try_cast("int").alias("fast_chargers"),
-        F.col("EV Level2 EVSE Num").try_cast("int").alias("level2_chargers"),
+        scalars.whole_number("EV DC Fast Count").alias("fast_chargers"),
+        scalars.whole_number("EV Level2 EVSE Num").alias("level2_chargers"),
     )
     return typed.filter(scalars.in_box("lat", "lon", settings.station_box)).withColumn(
         "charger_h3", settings.grid.cell_of("lat", "lon")
@@ -40,16 +41,16 @@ def clean_stations(raw: DataFrame, settings: Settings, key: Column | None = None
 def rejected_stations(raw: DataFrame) -> DataFrame:
     """How many rows have unreadable coordinates or counts."""
 
-    def unreadable(name: str, kind: str) -> Column:
-        return F.count_if(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull())
+    def unreadable(name: str) -> Column:
+        return F.count_if(F.col(name).isNotNull() & scalars.whole_number(name).isNull())
 
     return raw.agg(
         F.count("*").alias("stations"),
         F.count_if(F.col("Latitude").try_cast("double").isNull() | F.col("Longitude").try_cast("double").isNull()).alias(
             "bad_coordinates"
         ),
-        unreadable("EV DC Fast Count", "int").alias("bad_fast"),
-        unreadable("EV Level2 EVSE Num", "int").alias("bad_level2"),
+        unreadable("EV DC Fast Count").alias("bad_fast"),
+        unreadable("EV Level2 EVSE Num").alias("bad_level2"),
     )
 
 
@@ -201,8 +202,8 @@ def station_points(stations: DataFrame) -> DataFrame:
         F.col("station_name").alias("name"),
         scalars.number_or_null("lat").alias("lat"),
         scalars.number_or_null("lon").alias("lon"),
-        scalars.safe_int("fast_chargers").alias("fast"),
-        scalars.safe_int("level2_chargers").alias("level2"),
+        scalars.zero_if_none("fast_chargers").alias("fast"),
+        scalars.zero_if_none("level2_chargers").alias("level2"),
     ).na.drop(subset=["lat", "lon"])
     first = F.min_by(F.struct("name", "fast", "level2"), "charger_id")
     return (

@@ -28,9 +28,26 @@ def classify(hours: DataFrame) -> DataFrame:
     )
 
 
+def one_per_hour(hours: DataFrame) -> DataFrame:
+    """One row per place and hour where landed files overlap.
+
+    The row with the most measures wins, of those the one with the greater
+    measures, compared in the order of ``MEASURES``.
+    """
+    known = sum((F.col(m).isNotNull().cast("int") for m in MEASURES), F.lit(0))
+    best = F.max(F.struct(known.alias("known"), *MEASURES)).alias("best")
+    return hours.groupBy("borough", "time").agg(best).select("borough", "time", *[f"best.{m}" for m in MEASURES])
+
+
+def repeated_hours(landed: DataFrame) -> DataFrame:
+    """Hours of a place that landed more than once, with how often."""
+    hours = explode_hours(landed).groupBy("borough", "time").agg(F.count("*").alias("row_count"))
+    return hours.filter("row_count > 1")
+
+
 def hourly_weather(landed: DataFrame) -> DataFrame:
-    """The weather table."""
-    return classify(explode_hours(landed))
+    """The weather table, one row per place and hour."""
+    return classify(one_per_hour(explode_hours(landed)))
 
 
 def missing_places(places: DataFrame, landed: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from cabgrid.config import Settings
 from cabgrid.ml import model as ml
 from cabgrid.operators import demand as dm
-from cabgrid.operators import features, recommend, stations, typical, weather, zonefill
+from cabgrid.operators import features, quality, recommend, stations, typical, weather, zonefill
 from cabgrid.sinks import writers
 
 
@@ -22,6 +22,8 @@ class Inputs:
     zones: DataFrame
     weather_landed: DataFrame
     stations_raw: DataFrame
+    #: Places for which weather is expected; checked against what landed.
+    places: DataFrame
 
 
 @dataclass(frozen=True)
@@ -47,11 +49,16 @@ def refresh(
     trip_key: Column | None = None,
     station_key: Column | None = None,
     typical_from_test_rows: bool = False,
+    schema: str | None = None,
+    fit_partitions: int | None = None,
 ) -> dict[str, DataFrame]:
     """Build and write all tables; returns them by name.
 
     Typical demand averages the predictions of all rows, or only of the rows
-    the model was not trained on.
+    the model was not trained on. With ``schema`` every table is registered
+    under its name there. Beside the tables of the analysis there are the
+    metrics of the held-out rows, the importances of the model's inputs, and
+    what the checks of the inputs found.
     """
     grid = settings.grid
     tables: dict[str, DataFrame] = {}
@@ -60,10 +67,16 @@ def refresh(
         tables[name] = _written(spark, df, layout.path(name))
         return tables[name]
 
+    keep("missing_weather_places", weather.missing_places(inputs.places, inputs.weather_landed))
+    keep("repeated_weather_hours", weather.repeated_hours(inputs.weather_landed))
     hours = keep("weather", weather.hourly_weather(inputs.weather_landed))
     cells = keep("h3_mappings_resolution_8", zonefill.zone_cells(inputs.zone_rings, grid))
     keep("h3_mappings_resolution_9", zonefill.zone_cells(inputs.zone_rings, grid.finer()))
     zones = keep("taxi_zones", inputs.zones)
+    keep("trip_rejects", quality.trip_rejects(inputs.trips, cells, settings.unknown_zones))
+    keep("repeated_zones", quality.repeated_zones(zones))
+    keep("zones_without_cells", quality.zones_without_cells(cells))
+    keep("station_rejects", stations.rejected_stations(inputs.stations_raw))
     chargers = keep("ny_chargers", stations.clean_stations(inputs.stations_raw, settings, station_key))
 
     writers.write_demand(
@@ -74,9 +87,14 @@ def refresh(
 
     rows = keep("demand_features", features.demand_features(demand, zones, hours, settings))
     train, _ = ml.split_by_time(rows, settings.model.cutoff)
-    model = ml.fit(train, settings.model)
+    inputs_of_model = ml.feature_names(features.lag_names(settings))
+    model = ml.fit(train, settings.model, inputs_of_model, fit_partitions)
     ml.save(model, layout.path("gbt_model"))
-    predictions = keep("demand_predictions", ml.predictions_table(ml.score(model, rows)))
+    scored = ml.score(model, rows)
+    predictions = keep("demand_predictions", ml.predictions_table(scored))
+    _, unseen_rows = ml.split_by_time(scored, settings.model.cutoff)
+    keep("model_metrics", ml.regression_metrics(unseen_rows))
+    keep("feature_importance", ml.feature_importance(spark, model, scored))
     _, unseen = ml.split_by_time(predictions, settings.model.cutoff)
     averaged = unseen if typical_from_test_rows else predictions
     slots = keep("typical_demand_lookup", typical.typical_demand(averaged))
@@ -88,6 +106,9 @@ def refresh(
     recs = recommend.recommendations(slots, stations.cell_scores(nearest, settings), settings)
     writers.write_slots(recs, layout.path("recommendations"))
     tables["recommendations"] = spark.read.parquet(layout.path("recommendations"))
+    if schema is not None:
+        for name in tables:
+            writers.register(spark, f"{schema}.{name}", layout.path(name))
     return tables
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# Names and types of all columns are fixed by the source files.
 PLACES = StructType(
     [
         StructField("borough", StringType(), False),

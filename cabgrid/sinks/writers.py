@@ -41,12 +41,20 @@ def write_slots(df: DataFrame, path: str) -> None:
 
 
 def register(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Make the Parquet table at ``path`` known by name, replacing an older registration.
+    """Make the Parquet table at ``path`` known by name, replacing an older registration of this kind.
 
-    The data is external: dropping the old name leaves its files alone.
+    The data is external: an older registration is forgotten, its files stay. A
+    name that stands for anything else, such as a managed table or a view,
+    is refused, since replacing that would delete data.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    quoted = ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+    if spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} is {kind}, not an external table; it is left as it is")
+        spark.sql(f"DROP TABLE {quoted}")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {quoted} USING parquet LOCATION '{location}'")
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
     return spark.table(name)

@@ -36,11 +36,24 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trips_from_events(events: DataFrame) -> DataFrame:
-    user = F.col("user_id") % 27
-    zone = F.when(user == 25, 264).when(user == 26, 265).otherwise(user + 1)
+    """Trips of three kinds by number: from one busy stand, in rushes of six hours, and scattered.
+
+    The stand gives a long series, the rushes give windows with many pickups.
+    Some scattered trips have a zone without cells or none at all.
+    """
+    user, kind, ts = F.col("user_id") % 27, F.col("event_id") % 5, F.col("ts").cast("timestamp")
+    zone = (
+        F.when(kind < 2, 1)
+        .when(F.col("event_id") % 100 == 4, 263)
+        .when((F.col("event_id") % 100 == 9), F.lit(None))
+        .when(user == 25, 264)
+        .when(user == 26, 265)
+        .otherwise(user + 1)
+    )
+    rush = F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / 21600) * 21600)
     return events.select(
         F.col("event_id").alias("trip_id"),
-        F.col("ts").cast("timestamp").alias("tpep_pickup_datetime"),
+        F.when(kind.isin(2, 3), rush).otherwise(ts).alias("tpep_pickup_datetime"),
         zone.cast("bigint").alias("PULocationID"),
         (F.col("value") / 4).alias("trip_distance"),
         F.col("value").alias("fare_amount"),
@@ -51,7 +64,9 @@ def trips_from_events(events: DataFrame) -> DataFrame:
 
 
 def trip_key() -> Column:
-    return F.col("trip_id") * 7919
+    """The stand is one cell, rushes go to two cells of a zone, the rest to all."""
+    kind = F.col("trip_id") % 5
+    return F.when(kind < 2, F.lit(0)).when(kind < 4, F.floor(F.col("trip_id") / 5) % 2).otherwise(F.col("trip_id") * 7919)
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
@@ -148,9 +163,9 @@ def _weather(places: DataFrame) -> DataFrame:
 
 
 def region_weather(spark: SparkSession, sf: str) -> DataFrame:
-    """Landed weather per borough."""
+    """Landed weather per borough; one borough landed twice, the second time without temperatures."""
     region = table(spark, sf, "region")
-    return _weather(
+    landed = _weather(
         region.select(
             F.col("r_name").alias("borough"),
             F.col("r_regionkey").cast("bigint").alias("b"),
@@ -158,6 +173,9 @@ def region_weather(spark: SparkSession, sf: str) -> DataFrame:
             F.lit(-73.9).alias("lon"),
         )
     )
+    again = landed.filter(F.col("lat") < 40.62)
+    none = F.transform("temp_2m", lambda t: F.lit(None).cast("double"))
+    return landed.unionByName(again.withColumn("temp_2m", none))
 
 
 def supplier_weather(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,15 +192,20 @@ def supplier_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stations_csv(spark: SparkSession, sf: str) -> DataFrame:
-    """Station file as text with its key, one row with an unreadable latitude."""
+    """Station file as text with its key: repeated coordinates, counts written in several ways, one broken row."""
     k = F.col("s_suppkey")
     rows = table(spark, sf, "supplier").select(
         k.cast("string").alias("station_key"),
         F.col("s_name").alias("Station Name"),
-        (F.lit(40.60) + ((k * 37) % 100) * F.lit(0.005)).cast("string").alias("Latitude"),
-        (F.lit(-74.10) + ((k * 53) % 100) * F.lit(0.005)).cast("string").alias("Longitude"),
+        (F.lit(40.60) + ((k % 80 * 37) % 100) * F.lit(0.005)).cast("string").alias("Latitude"),
+        (F.lit(-74.10) + ((k % 80 * 53) % 100) * F.lit(0.005)).cast("string").alias("Longitude"),
         F.when(k % 5 != 0, (k % 4).cast("string")).alias("EV DC Fast Count"),
-        F.when(k % 6 != 0, (k % 7).cast("string")).alias("EV Level2 EVSE Num"),
+        F.when(k % 11 == 0, "2.0")
+        .when(k % 13 == 0, "3.7")
+        .when(k % 17 == 0, " 4 ")
+        .when(k % 19 == 0, "nan")
+        .when(k % 6 != 0, (k % 7).cast("string"))
+        .alias("EV Level2 EVSE Num"),
     )
     broken = spark.createDataFrame([("-1", "broken row", "n/a", "-73.9", "1", "x")], rows.schema)
     return rows.unionByName(broken)

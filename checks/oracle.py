@@ -26,6 +26,12 @@ def r6(expr: str) -> str:
     return f"(floor(({expr}) * 1e6 + 0.5e0) / 1e6)"
 
 
+def whole(text: str) -> str:
+    """Whole part of a number in text; NULL where there is none."""
+    value = f"try_cast(trim({text}) AS DOUBLE)"
+    return f"(CASE WHEN NOT isnan({value}) THEN trunc({value})::INTEGER END)"
+
+
 def q_of(cell: str) -> str:
     return f"(({cell} >> 21) - {HALF})"
 
@@ -183,8 +189,12 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "trips": (
         (),
         """
-      SELECT event_id AS trip_id, ts AS tpep_pickup_datetime,
-        (CASE user_id % 27 WHEN 25 THEN 264 WHEN 26 THEN 265 ELSE user_id % 27 + 1 END)::BIGINT AS PULocationID,
+      SELECT event_id AS trip_id,
+        CASE WHEN event_id % 5 IN (2, 3) THEN time_bucket(INTERVAL 6 HOUR, ts) ELSE ts END AS tpep_pickup_datetime,
+        (CASE WHEN event_id % 5 < 2 THEN 1 WHEN event_id % 100 = 4 THEN 263 WHEN event_id % 100 = 9 THEN NULL
+          WHEN user_id % 27 = 25 THEN 264 WHEN user_id % 27 = 26 THEN 265 ELSE user_id % 27 + 1 END)::BIGINT AS PULocationID,
+        (CASE WHEN event_id % 5 < 2 THEN 0 WHEN event_id % 5 < 4 THEN event_id // 5 % 2 ELSE event_id * 7919 END)::BIGINT
+          AS pick_key,
         value / 4e0 AS trip_distance, value AS fare_amount, (5 + event_id % 30)::DOUBLE AS average_speed_mph,
         (event_id % 31)::DOUBLE AS tip_percentage, 1 + event_id % 4 AS passenger_count
       FROM events""",
@@ -234,8 +244,8 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "trip_cells": (
         ("trips", "numbered_cells"),
         """
-      SELECT t.*, c.cell AS pickup_h3
-      FROM trips t LEFT JOIN numbered_cells c ON t.PULocationID = c.LocationID AND (t.trip_id * 7919) % c.n = c.pos
+      SELECT t.* EXCLUDE (pick_key), c.cell AS pickup_h3
+      FROM trips t LEFT JOIN numbered_cells c ON t.PULocationID = c.LocationID AND t.pick_key % c.n = c.pos
       WHERE t.PULocationID NOT IN (264, 265)""",
     ),
     "demand": (
@@ -288,10 +298,11 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """
       SELECT s_suppkey AS station_key, s_name AS station_name,
-        (40.6e0 + ((s_suppkey * 37) % 100) * 0.005e0)::VARCHAR AS lat_text,
-        (-74.1e0 + ((s_suppkey * 53) % 100) * 0.005e0)::VARCHAR AS lon_text,
+        (40.6e0 + ((s_suppkey % 80 * 37) % 100) * 0.005e0)::VARCHAR AS lat_text,
+        (-74.1e0 + ((s_suppkey % 80 * 53) % 100) * 0.005e0)::VARCHAR AS lon_text,
         CASE WHEN s_suppkey % 5 <> 0 THEN (s_suppkey % 4)::VARCHAR END AS fast_text,
-        CASE WHEN s_suppkey % 6 <> 0 THEN (s_suppkey % 7)::VARCHAR END AS level2_text
+        CASE WHEN s_suppkey % 11 = 0 THEN '2.0' WHEN s_suppkey % 13 = 0 THEN '3.7' WHEN s_suppkey % 17 = 0 THEN ' 4 '
+          WHEN s_suppkey % 19 = 0 THEN 'nan' WHEN s_suppkey % 6 <> 0 THEN (s_suppkey % 7)::VARCHAR END AS level2_text
       FROM supplier
       UNION ALL SELECT -1, 'broken row', 'n/a', '-73.9', '1', 'x'""",
     ),
@@ -299,8 +310,8 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
         ("stations_csv",),
         with_cell(
             f"""SELECT station_key AS charger_id, station_name, try_cast(lat_text AS DOUBLE) AS lat,
-        try_cast(lon_text AS DOUBLE) AS lon, try_cast(fast_text AS INTEGER) AS fast_chargers,
-        try_cast(level2_text AS INTEGER) AS level2_chargers
+        try_cast(lon_text AS DOUBLE) AS lon, {whole("fast_text")} AS fast_chargers,
+        {whole("level2_text")} AS level2_chargers
       FROM stations_csv
       WHERE try_cast(lat_text AS DOUBLE) BETWEEN {d(_BOX.lat_min)} AND {d(_BOX.lat_max)}
         AND try_cast(lon_text AS DOUBLE) BETWEEN {d(_BOX.lon_min)} AND {d(_BOX.lon_max)}""",

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from cabgrid.sinks import writers
 from cabgrid.sources import tables as src
 from cabgrid.streaming import live_demand as live
 from checks import fixtures as fx
-from checks.oracle import BLOCKS, GRID, d, dist, lat_of, lon_of, query, r6, weather_of, with_cell
+from checks.oracle import BLOCKS, GRID, d, dist, lat_of, lon_of, query, r6, weather_of, whole, with_cell
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -409,6 +411,22 @@ def k5(spark, sf):
     return quality.row_counts({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
+def exported(table: str, at: int, name: str, columns: dict[str, str]) -> None:
+    """Register the contents of one exported table as they are read back."""
+
+    @register(f"k5_exported_{table}", rounded(table, columns))
+    def read_back(spark, sf):
+        source = (recs, typical, clean, nearest)[at](spark, sf)
+        paths = writers.export({name: source}, session.scratch_path(spark, "export"))
+        return spark.read.parquet(paths[name]).select(*columns)
+
+
+exported("recs", 0, "recommendations", RECS)
+exported("typical", 1, "typical_demand_lookup", TYPICAL)
+exported("stations", 2, "ny_chargers", STATIONS)
+exported("nearest", 3, "nearest_chargers", NEAREST)
+
+
 # --- projections -----------------------------------------------------------------------------
 
 
@@ -506,7 +524,7 @@ def c1(spark, sf):
     "c2_tolerant_cast",
     query(
         f"""SELECT station_key::BIGINT AS station_key, {r6("try_cast(lat_text AS DOUBLE)")} AS lat,
-      {r6("try_cast(lon_text AS DOUBLE)")} AS lon, try_cast(level2_text AS BIGINT) AS level2
+      {r6("try_cast(lon_text AS DOUBLE)")} AS lon, {whole("level2_text")}::BIGINT AS level2
     FROM stations_csv""",
         "stations_csv",
     ),
@@ -516,7 +534,7 @@ def c2(spark, sf):
         F.col("station_key").cast("bigint").alias("station_key"),
         scalars.number_or_null("Latitude").alias("lat"),
         scalars.number_or_null("Longitude").alias("lon"),
-        F.col("EV Level2 EVSE Num").try_cast("int").alias("level2"),
+        scalars.whole_number("EV Level2 EVSE Num").alias("level2"),
     )
 
 
@@ -861,10 +879,10 @@ def a8_rejects(spark, sf):
 @register(
     "a8_station_rejects",
     query(
-        """SELECT count(*) AS stations,
+        f"""SELECT count(*) AS stations,
       count(*) FILTER (try_cast(lat_text AS DOUBLE) IS NULL OR try_cast(lon_text AS DOUBLE) IS NULL) AS bad_coordinates,
-      count(*) FILTER (fast_text IS NOT NULL AND try_cast(fast_text AS INTEGER) IS NULL) AS bad_fast,
-      count(*) FILTER (level2_text IS NOT NULL AND try_cast(level2_text AS INTEGER) IS NULL) AS bad_level2
+      count(*) FILTER (fast_text IS NOT NULL AND {whole("fast_text")} IS NULL) AS bad_fast,
+      count(*) FILTER (level2_text IS NOT NULL AND {whole("level2_text")} IS NULL) AS bad_level2
     FROM stations_csv""",
         "stations_csv",
     ),
@@ -873,6 +891,35 @@ def a8_station_rejects(spark, sf):
     return stations.rejected_stations(fx.stations_csv(spark, sf))
 
 
+@register(
+    "a8_repeated_zones",
+    query("""SELECT LocationID::BIGINT AS "LocationID", 2::BIGINT AS row_count FROM zones WHERE LocationID % 3 = 0""", "zones"),
+)
+def a8_repeated_zones(spark, sf):
+    """Zones of which every third is listed twice."""
+    zones = fx.zones(spark, sf)
+    return quality.repeated_zones(zones.unionByName(zones.filter("LocationID % 3 = 0")))
+
+
+@register("s2_missing_places", "SELECT s_name AS borough FROM supplier WHERE s_suppkey % 7 = 0")
+def s2_missing(spark, sf):
+    """Suppliers' places of which every seventh has landed no hours."""
+    places = fx.table(spark, sf, "supplier").select(F.col("s_name").alias("borough"), "s_suppkey")
+    landed = fx.supplier_weather(spark, sf).join(places.filter("s_suppkey % 7 <> 0"), "borough", "left_semi")
+    return weather.missing_places(places.select("borough"), landed)
+
+
+@register(
+    "s2_repeated_hours",
+    query(
+        "SELECT borough, time, 2::BIGINT AS row_count FROM weather WHERE borough = (SELECT r_name FROM region WHERE r_regionkey = 0)",
+        "weather",
+    ),
+)
+def s2_repeated(spark, sf):
+    return weather.repeated_hours(fx.region_weather(spark, sf))
+
+
 # --- windows, top-k --------------------------------------------------------------------------
 
 
@@ -1091,8 +1138,9 @@ def f12(spark, sf):
 @register(
     "f13_safe_int",
     query(
-        """SELECT station_key::BIGINT AS station_key, coalesce(try_cast(fast_text AS BIGINT), 0) AS fast,
-      coalesce(try_cast(level2_text AS BIGINT), 0) AS level2 FROM stations_csv""",
+        r"""SELECT station_key::BIGINT AS station_key, coalesce(try_cast(fast_text AS BIGINT), 0) AS fast,
+      CASE WHEN regexp_full_match(trim(level2_text), '[+-]?\d+') THEN trim(level2_text)::BIGINT ELSE 0 END AS level2
+    FROM stations_csv""",
         "stations_csv",
     ),
 )
@@ -1108,7 +1156,7 @@ def f13(spark, sf):
     "f14_numeric_coerce",
     query(
         f"""SELECT station_key::BIGINT AS station_key, {r6("coalesce(try_cast(lat_text AS DOUBLE), 0)")} AS lat,
-      coalesce(try_cast(level2_text AS BIGINT), 0) AS level2 FROM stations_csv""",
+      coalesce({whole("level2_text")}, 0)::BIGINT AS level2 FROM stations_csv""",
         "stations_csv",
     ),
 )
@@ -1116,7 +1164,7 @@ def f14(spark, sf):
     return fx.stations_csv(spark, sf).select(
         F.col("station_key").cast("bigint").alias("station_key"),
         F.coalesce(scalars.number_or_null("Latitude"), F.lit(0.0)).alias("lat"),
-        scalars.safe_int("EV Level2 EVSE Num").alias("level2"),
+        scalars.zero_if_none("EV Level2 EVSE Num").alias("level2"),
     )
 
 
@@ -1335,22 +1383,32 @@ def one_hot_sql(code: str, size: int, prefix: str) -> str:
     return ", ".join(f"CASE WHEN {code} = {i} THEN 1e0 ELSE 0e0 END AS {prefix}{i}" for i in range(size))
 
 
+def vector_columns(rows: DataFrame, column: str, prefix: str, width: int) -> list:
+    """The elements of a vector as columns, and its length, which the metadata must confirm."""
+    found = len([a for group in rows.schema[column].metadata["ml_attr"]["attrs"].values() for a in group])
+    values = vector_to_array(column)
+    digits = len(str(width - 1))
+    return [
+        *[F.get(values, F.lit(i)).alias(f"{prefix}{i:0{digits}d}") for i in range(found)],
+        F.size(values).alias(f"{prefix}width"),
+    ]
+
+
 @register(
     "m2_one_hot",
     query(
         f"""SELECT window_start, pickup_zone_id, pickup_h3, {one_hot_sql("weather_code", 3, "weather_")},
-      {one_hot_sql("temp_code", 4, "temp_")} FROM coded""",
+      3::BIGINT AS weather_width, {one_hot_sql("temp_code", 4, "temp_")}, 4::BIGINT AS temp_width FROM coded""",
         "coded",
     ),
 )
 def m2(spark, sf):
-    rows = encoded(spark, sf).withColumns(
-        {"w": vector_to_array("weather_type_vec"), "t": vector_to_array("temperature_bucket_vec")}
-    )
+    """One-hot vectors with as many columns as categories were learned."""
+    rows = encoded(spark, sf)
     return rows.select(
         *KEYS,
-        *[F.get("w", i).alias(f"weather_{i}") for i in range(3)],
-        *[F.get("t", i).alias(f"temp_{i}") for i in range(4)],
+        *vector_columns(rows, "weather_type_vec", "weather_", 3),
+        *vector_columns(rows, "temperature_bucket_vec", "temp_", 4),
     )
 
 
@@ -1363,7 +1421,8 @@ def _vector_sql() -> str:
             values += [f"CASE WHEN temp_code = {i} THEN 1e0 ELSE 0e0 END" for i in range(4)]
         else:
             values.append(f"{name}::DOUBLE")
-    return ", ".join(f"{r6(v)} AS f{i:02d}" for i, v in enumerate(values))
+    columns = ", ".join(f"{r6(v)} AS f{i:02d}" for i, v in enumerate(values))
+    return f"{columns}, {len(values)}::BIGINT AS fwidth"
 
 
 @register(
@@ -1371,27 +1430,105 @@ def _vector_sql() -> str:
     query(f"SELECT window_start, pickup_zone_id, pickup_h3, {_vector_sql()} FROM coded", "coded"),
 )
 def m3(spark, sf):
-    rows = encoded(spark, sf).withColumn("v", vector_to_array("features"))
-    return rows.select(*KEYS, *[F.get("v", i).alias(f"f{i:02d}") for i in range(24)])
+    rows = encoded(spark, sf)
+    return rows.select(*KEYS, *vector_columns(rows, "features", "f", 24))
+
 
+CUTOFF = f"TIMESTAMP '{S.model.cutoff} 00:00:00'"
 
-@register("m4_boosted_trees")
+
+@register(
+    "m4_boosted_trees",
+    query(
+        f"""SELECT count(*) AS row_count, 0::BIGINT AS differing, 0::BIGINT AS unscored, true AS beats_mean
+    FROM features WHERE window_start < {CUTOFF}""",
+        "features",
+    ),
+)
 def m4(spark, sf):
-    """Held-out rows scored by the fitted trees."""
-    _, test = ml.split_by_time(scored_rows(spark, sf), S.model.cutoff)
-    return test.select(*KEYS, ml.LABEL, "prediction")
+    """Two fits of the training rows agree, score every row, and err less than the mean."""
+    train, _ = ml.split_by_time(features(spark, sf), S.model.cutoff)
+    small = replace(S.model, trees=3)
+    made = [ml.score(ml.fit(train, small), train).select(*KEYS, ml.LABEL, "prediction") for _ in range(2)]
+    both = made[0].join(made[1].withColumnRenamed("prediction", "again").drop(ml.LABEL), [*KEYS])
+    error = F.col("prediction") - F.col(ml.LABEL)
+    return both.agg(
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("prediction") != F.col("again")).alias("differing"),
+        F.count_if(F.col("prediction").isNull()).alias("unscored"),
+        (F.avg(error * error) < F.var_pop(ml.LABEL)).alias("beats_mean"),
+    )
+
+
+def walked(spark: SparkSession, path: str, rows: DataFrame, depth: int) -> DataFrame:
+    """Predictions read off the saved trees' nodes, one level of all trees at a time."""
+    stage = f"{path}/stages/*GBTRegressor*"
+    nodes = spark.read.parquet(f"{stage}/data").select("treeID", "nodeData.*")
+    # Tree number, metadata and weight, stored without names.
+    weights = spark.read.parquet(f"{stage}/treesMetadata").toDF("treeID", "metadata", "weights").drop("metadata")
+    node = nodes.select(
+        "treeID",
+        F.col("id").alias("at"),
+        F.col("prediction").alias("leaf"),
+        "leftChild",
+        "rightChild",
+        F.col("split.featureIndex").alias("input"),
+        F.col("split.leftCategoriesOrThreshold").alias("left"),
+        F.col("split.numCategories").alias("categories"),
+    )
+    state = rows.select(*KEYS, vector_to_array("features").alias("x"), "prediction").join(
+        weights.withColumn("at", F.lit(0))
+    )
+    for _ in range(depth):
+        value = F.get("x", F.col("input"))
+        goes_left = F.when(F.col("categories") < 0, value <= F.get("left", F.lit(0))).otherwise(F.array_contains("left", value))
+        following = F.when(F.col("leftChild") < 0, F.col("at")).when(goes_left, F.col("leftChild")).otherwise(F.col("rightChild"))
+        state = state.join(node, ["treeID", "at"]).select(*KEYS, "x", "prediction", "treeID", "weights", following.alias("at"))
+    ends = state.join(node, ["treeID", "at"])
+    return ends.groupBy(*KEYS, "prediction").agg(F.sum(F.col("leaf") * F.col("weights")).alias("walked"))
 
 
-@register("m5_predictions")
+@register(
+    "m5_predictions",
+    query("SELECT count(*) AS row_count, 0::BIGINT AS differing FROM features", "features"),
+)
 def m5(spark, sf):
-    return ml.predictions_table(scored_rows(spark, sf))
+    """Every row's prediction equals the weighted sum of the leaves that the saved trees lead it to."""
+    rows = walked(spark, model_path(spark, sf), scored_rows(spark, sf), S.model.depth)
+    far = F.abs(F.col("walked") - F.col("prediction")) > 1e-9
+    return rows.agg(F.count("*").alias("row_count"), F.count_if(far | F.col("walked").isNull()).alias("differing"))
 
 
-@register("m5_predicted_recommendations")
+@register(
+    "m5_predicted_recommendations",
+    query(
+        f"""SELECT count(*) AS slots, sum(least(n, {S.top}))::BIGINT AS answers, 0::BIGINT AS bad_ranks, 0::BIGINT AS outside
+    FROM (
+      SELECT o.pickup_h3, o.h, o.w, count(*) AS n
+      FROM (SELECT DISTINCT pickup_h3, hour(window_start) AS h, dayofweek(window_start) AS w FROM features) AS o
+      JOIN (SELECT DISTINCT pickup_h3, hour(window_start) AS h, dayofweek(window_start) AS w FROM features) AS c
+        ON o.h = c.h AND o.w = c.w AND o.pickup_h3 <> c.pickup_h3
+        AND {dist("o.pickup_h3", "c.pickup_h3")} <= {S.ring}
+      GROUP BY ALL) AS reached""",
+        "features",
+    ),
+)
 def m5_recs(spark, sf):
-    """Recommendations from predicted demand, the full path."""
+    """Recommendations from predicted demand: all slots answered, ranks without gaps, candidates within the ring."""
     slots = ty.typical_demand(ml.predictions_table(scored_rows(spark, sf)))
-    return recommend.recommendations(slots, cell_scores(spark, sf), S)
+    found = recommend.recommendations(slots, cell_scores(spark, sf), S)
+    per_slot = found.groupBy("origin_h3", "hour_of_day", "day_of_week").agg(
+        F.count("*").alias("n"),
+        F.sum("rank").alias("ranks"),
+        F.count_if(~F.col("grid_distance").between(1, S.ring)).alias("outside"),
+    )
+    gaps = (F.col("ranks") * 2 != F.col("n") * (F.col("n") + 1)) | (F.col("n") > S.top)
+    return per_slot.agg(
+        F.count("*").alias("slots"),
+        F.sum("n").alias("answers"),
+        F.count_if(gaps).alias("bad_ranks"),
+        F.sum("outside").alias("outside"),
+    )
 
 
 @register(
@@ -1409,16 +1546,43 @@ def m6_estimate(spark, sf):
     return ml.regression_metrics(rows, "fare_amount")
 
 
-@register("m6_model_metrics")
+@register(
+    "m6_model_metrics",
+    query(
+        f"""SELECT count(*) AS row_count, true AS rmse_equal, true AS mae_equal, true AS r2_equal
+    FROM features WHERE window_start >= {CUTOFF}""",
+        "features",
+    ),
+)
 def m6(spark, sf):
+    """Metrics of the fitted model on held-out rows agree with the library's own evaluator."""
     _, test = ml.split_by_time(scored_rows(spark, sf), S.model.cutoff)
-    return ml.regression_metrics(test)
+    rows = test.select(F.col(ml.LABEL).cast("double").alias(ml.LABEL), "prediction")
+    own = ml.regression_metrics(rows)
+    judge = RegressionEvaluator(labelCol=ml.LABEL, predictionCol="prediction")
+    theirs = {m: judge.evaluate(rows, {judge.metricName: m}) for m in ("rmse", "mae", "r2")}
+    return own.select("row_count", *[(F.abs(F.col(m) - F.lit(v)) < 1e-6).alias(f"{m}_equal") for m, v in theirs.items()])
 
 
-@register("m7_feature_importance")
+@register(
+    "m7_feature_importance",
+    query(
+        f"""SELECT count(DISTINCT weather_type) + count(DISTINCT temp_bucket) + {len(ml.FEATURES) - 2} AS inputs,
+      count(DISTINCT weather_type) + count(DISTINCT temp_bucket) + {len(ml.FEATURES) - 2} AS names,
+      true AS sums_to_one, 0::BIGINT AS negative FROM features WHERE window_start < {CUTOFF}""",
+        "features",
+    ),
+)
 def m7(spark, sf):
+    """One importance for each input of the vector, none negative, one in total."""
     model = ml.load(model_path(spark, sf))
-    return ml.feature_importance(spark, model, ml.score(model, features(spark, sf)))
+    found = ml.feature_importance(spark, model, ml.score(model, features(spark, sf)))
+    return found.agg(
+        F.count("*").alias("inputs"),
+        F.count_distinct("feature").alias("names"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+    )
 
 
 @register("k6_model_reload", query("SELECT count(*) AS row_count, 0::BIGINT AS mismatches FROM features", "features"))

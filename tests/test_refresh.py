@@ -22,6 +22,7 @@ def built(spark, tmp_path_factory):
         zones=fx.zones(spark, SF_SMALL),
         weather_landed=fx.region_weather(spark, SF_SMALL),
         stations_raw=fx.stations_csv(spark, SF_SMALL),
+        places=fx.zones(spark, SF_SMALL).selectExpr("Borough AS borough").distinct(),
     )
     base = str(tmp_path_factory.mktemp("lake"))
     tables = plan.refresh(spark, inputs, plan.Layout(base), settings, fx.trip_key(), fx.station_key())
