@@ -60,12 +60,13 @@ def tossed(x: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def phrase_starts(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Places where phrases begin: at texts' first symbols and local maxima of their labels."""
+    """Places where phrases begin: at texts' first symbols and local maxima of their labels, the last symbol never."""
     label = tossed(symbols, first)
     for _ in range(3):
         label = tossed(label, first)
     top = np.zeros(len(label), dtype=bool)
     top[1:-1] = (label[1:-1] > label[:-2]) & (label[1:-1] >= label[2:])
+    top[first[1:] - 1] = False
     top[first] = True
     return np.nonzero(top)[0]
 

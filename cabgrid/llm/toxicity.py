@@ -19,8 +19,8 @@ and the score from at most ``CHAIN_SAMPLE`` of each. The sampled share of each
 class is made up for by weights.
 
 Cases: null and empty texts have no token and get the score of a text without
-evidence. Null labels teach nothing; without labels of both classes every score
-is the share of toxic labels (0 without any label). Of repeated labels of a
+evidence. Null labels teach nothing; without documents of both classes every score
+is 1 or 0, whichever class there is (0 without any). Of repeated labels of a
 document each counts. Repeated documents get a row each, an empty table gives
 none. Columns other than doc_id, text and toxic are ignored.
 """
@@ -220,7 +220,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Chain:
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     reader = Reader(chain)
     coded = [np.array(reader.codes(r["text"]), dtype=np.int64) for r in rows]
-    toxic = np.array([r["toxic"] for r in rows])
+    toxic = np.array([r["toxic"] for r in rows], dtype=np.int64)
+    if len(set(toxic.tolist())) < 2:
+        return Chain(fixed=float(toxic.any()))
     pairs = reader.table()
     strong = pairs.max(axis=1) >= LEAST_EVIDENCE
     codes = np.concatenate(coded)
