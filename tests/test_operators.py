@@ -142,7 +142,7 @@ def test_unknown_and_missing_zones_are_dropped_and_unmapped_ones_kept(spark):
     assert tuple(rejects) == (5, 1, 2, 1)
 
 
-def test_every_trip_gets_one_cell_of_its_zone_whatever_the_spread(spark, conf):
+def test_every_trip_gets_one_cell_of_its_zone_however_it_is_joined(spark, conf):
     zones = {1: [pack(0, i) for i in range(7)], 2: [pack(5, 5)]}
     # one zone holds nine trips in ten
     trips = trips_of(spark, [(T0 + timedelta(seconds=i), 2 if i % 10 == 0 else 1) for i in range(500)])
@@ -152,8 +152,17 @@ def test_every_trip_gets_one_cell_of_its_zone_whatever_the_spread(spark, conf):
     assert all(plain[r.trip_id] in zones[r.PULocationID] for r in trips.collect())
     assert set(plain.values()) == set(zones[1] + zones[2])
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    spread = {r.trip_id: r.pickup_h3 for r in dm.assign_cells(trips.repartition(7), cells, spread=8).collect()}
-    assert spread == plain
+    shuffled = {r.trip_id: r.pickup_h3 for r in dm.assign_cells(trips.repartition(7), cells).collect()}
+    assert shuffled == plain
+
+
+def test_a_zone_without_cells_gives_no_cell(spark):
+    trips = trips_of(spark, [(T0, 1), (T0, 2), (T0, 3)])
+    cells = spark.createDataFrame([(1, [pack(0, 0)]), (2, []), (3, None)], "LocationID int, h3_cells array<bigint>")
+    got = {r.PULocationID: r.pickup_h3 for r in dm.assign_cells(trips, cells).collect()}
+    assert got == {1: pack(0, 0), 2: None, 3: None}
+    assert quality.trip_rejects(trips, cells, ()).first().unmapped_zone == 2
+    assert {r.LocationID for r in quality.zones_without_cells(cells).collect()} == {2, 3}
 
 
 def test_windows_are_half_open(spark):

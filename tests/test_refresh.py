@@ -5,6 +5,7 @@ from dataclasses import replace
 import pytest
 
 from cabgrid import session
+from cabgrid.ml import model as ml
 from cabgrid.plans import refresh as plan
 from cabgrid.sinks import writers
 from cabgrid.sources import tables as src
@@ -15,7 +16,9 @@ from tests.conftest import SF_SMALL
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
     session.prepare(spark)
-    settings = replace(fx.SETTINGS, model=replace(fx.SETTINGS.model, trees=3, depth=2))
+    # Lags other than the default ones, and tables registered by name.
+    settings = replace(fx.SETTINGS, row_lags=(1, 6), model=replace(fx.SETTINGS.model, trees=3, depth=2))
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake")
     inputs = plan.Inputs(
         trips=fx.trips(spark, SF_SMALL),
         zone_rings=fx.zone_rings(spark, SF_SMALL),
@@ -25,8 +28,26 @@ def built(spark, tmp_path_factory):
         places=fx.zones(spark, SF_SMALL).selectExpr("Borough AS borough").distinct(),
     )
     base = str(tmp_path_factory.mktemp("lake"))
-    tables = plan.refresh(spark, inputs, plan.Layout(base), settings, fx.trip_key(), fx.station_key())
-    return base, tables
+    tables = plan.refresh(
+        spark, inputs, plan.Layout(base), settings, fx.trip_key(), fx.station_key(), schema="lake", fit_partitions=4
+    )
+    yield base, tables
+    spark.sql("DROP DATABASE lake CASCADE")
+
+
+def test_tables_are_read_by_name(spark, built):
+    _, tables = built
+    for name, df in tables.items():
+        assert spark.table(f"lake.{name}").count() == df.count(), name
+
+
+def test_metrics_and_importances_are_kept(built):
+    _, tables = built
+    metrics = tables["model_metrics"].first()
+    _, unseen = ml.split_by_time(tables["demand_features"], fx.SETTINGS.model.cutoff)
+    assert metrics.row_count == unseen.count() > 0 and metrics.rmse > 0
+    names = {r.feature for r in tables["feature_importance"].collect()}
+    assert {"prev_demand", "lag_6"} <= names and "lag_12" not in names
 
 
 def test_all_tables_are_written(spark, built):
@@ -43,9 +64,18 @@ def test_all_tables_are_written(spark, built):
         "typical_demand_lookup",
         "nearest_chargers",
         "recommendations",
+        "model_metrics",
+        "feature_importance",
+        "trip_rejects",
+        "station_rejects",
+        "missing_weather_places",
+        "repeated_weather_hours",
+        "repeated_zones",
+        "zones_without_cells",
     }
+    nothing_found = {"missing_weather_places", "repeated_zones", "zones_without_cells"}
     for name, df in tables.items():
-        assert df.count() > 0, name
+        assert (df.count() > 0) == (name not in nothing_found), name
         assert spark.read.parquet(f"{base}/{name}").count() == df.count()
 
 
@@ -86,6 +116,29 @@ def test_registering_again_points_to_the_new_files(spark, built, tmp_path):
     spark.sql("DROP TABLE refresh_table")
 
 
+def test_a_managed_table_is_never_replaced(spark, built, tmp_path):
+    _, tables = built
+    path = str(tmp_path / "it's here")
+    writers.overwrite(tables["ny_chargers"], path)
+    spark.range(5).write.saveAsTable("refresh_managed")
+    with pytest.raises(ValueError):
+        writers.register(spark, "refresh_managed", path)
+    assert spark.table("refresh_managed").count() == 5
+    spark.sql("DROP TABLE refresh_managed")
+    assert writers.register(spark, "refresh_managed", path).count() == tables["ny_chargers"].count()
+    spark.sql("DROP TABLE refresh_managed")
+
+
+def test_scratch_folders_can_be_dropped(spark):
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.drop_scratch(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        session.drop_scratch(spark, "/tmp")
+
+
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     folder = session.shared_dir(spark)

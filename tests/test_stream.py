@@ -19,7 +19,7 @@ def cells_of(spark):
     return spark.createDataFrame([(1, [10, 11, 12]), (2, [20])], "LocationID int, h3_cells array<bigint>")
 
 
-def run(spark, folder, rows_by_file, spread=1):
+def run(spark, folder, rows_by_file):
     """Write files in order, run the stream over them one file per batch."""
     source = str(folder / "in")
     for number, rows in enumerate(rows_by_file):
@@ -43,6 +43,16 @@ def test_final_windows_equal_the_batch_result(spark, tmp_path):
     assert expected and Counter(map(tuple, got)) == Counter(map(tuple, expected))
 
 
+def test_stream_without_broadcasts_gives_the_same(spark, tmp_path, conf):
+    files = [[(n * 100 + i, T0 + timedelta(minutes=10 * n, seconds=7 * i), 1 + (i % 9 == 0)) for i in range(80)] for n in range(3)]
+    (tmp_path / "a").mkdir(), (tmp_path / "b").mkdir()
+    small, _ = run(spark, tmp_path / "a", files)
+    expected = Counter(map(tuple, small.select(*KEPT).collect()))
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    large, _ = run(spark, tmp_path / "b", files)
+    assert expected and Counter(map(tuple, large.select(*KEPT).collect())) == expected
+
+
 def test_unknown_zones_do_not_move_the_watermark(spark, tmp_path):
     files = [[(1, T0, 1)], [(2, T0 + timedelta(days=3), 264)], [(3, T0 + timedelta(minutes=1), 1)]]
     live, _ = run(spark, tmp_path, files)
