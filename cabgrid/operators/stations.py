@@ -15,6 +15,8 @@ DETAILS = ("station_name", "lat", "lon", "fast_chargers", "level2_chargers", "ch
 # whole id range in four, the second is wider than a metropolitan area (about
 # 400 km), the last are blocks of four by four cells.
 TILE_BITS = (AXIS_BITS - 1, 9, 6, 4, 2)
+# All cells begin at the same four tiles; so many copies of what lies below those spread them.
+ROOT_COPIES = 64
 
 
 def clean_stations(raw: DataFrame, settings: Settings, key: Column | None = None) -> DataFrame:
@@ -82,8 +84,9 @@ def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataF
     lowest station id; they hold the answer. Equal distances go to the lower
     station id.
 
-    A level meets at most 64 tiles below each tile kept, and few are kept: those
-    along the edge of what is near.
+    The first step meets all occupied tiles of some 400 km; cells are spread for
+    it. A further level meets at most 64 tiles below each tile kept, and few are
+    kept: those along the edge of what is near.
     """
     # Of stations in one cell only the k lowest ids can ever be chosen.
     in_cell = Window.partitionBy("charger_h3").orderBy("charger_id")
@@ -104,6 +107,7 @@ def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataF
         .filter("h3_cell IS NOT NULL")
         .distinct()
         .selectExpr("h3_cell", f"explode(array({roots})) AS kept")
+        .withColumn("part", F.expr(f"CAST(pmod(xxhash64(h3_cell), {ROOT_COPIES}) AS INT)"))
     )
     by_cell = Window.partitionBy("h3_cell")
     within = by_cell.orderBy("d_max").rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -114,8 +118,12 @@ def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataF
     farthest = ", ".join(f"abs({at} - {n}_min), abs({at} - {n}_max)" for n, at in axes)
     for parent_bits, bits in zip(TILE_BITS, TILE_BITS[1:]):
         tiles = _tiles(occupied, bits, parent_bits, k)
+        on = walk["kept"] == tiles["parent"]
+        if parent_bits == TILE_BITS[0]:
+            tiles = tiles.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(ROOT_COPIES - 1))))
+            on &= walk["part"] == tiles["copy"]
         walk = (
-            walk.join(tiles, walk["kept"] == tiles["parent"])
+            walk.join(tiles, on)
             .selectExpr("h3_cell", "tile", "n", f"greatest(0, {closest}) AS d_min", f"greatest({farthest}) AS d_max")
             .withColumn("stations_within", F.sum("n").over(within))
             .withColumn("enough_at", F.min(F.expr(f"IF(stations_within >= {k}, d_max, NULL)")).over(by_cell))
