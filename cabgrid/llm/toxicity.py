@@ -2,7 +2,8 @@
 
 The tables label documents, so tokens get their labels from them: in a toxic
 document a token is labelled toxic if it, or failing that its first letters,
-occurs far more often in toxic documents than in clean ones. Documents are
+occurs far more often in toxic documents than in clean ones, and than chance
+among so many tokens explains. Documents are
 cut, whole, into stretches of tokens; on these a chain with the states clean
 and toxic is fitted by maximum likelihood, with evidence of the token and of
 its first letters as emission features and a weight for each transition.
@@ -27,6 +28,7 @@ none. Columns other than doc_id, text and toxic are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabgrid.llm.common import held_out, is_held_out, parts, rows_of, texts
+from cabgrid.llm.common import held_out, is_held_out, parts, rows_of, stored, texts
 
 SAMPLE = 8_000
 CHAIN_SAMPLE = 500
@@ -44,7 +46,9 @@ STRETCH = 64
 THRESHOLD = 0.3
 #: Least number of sampled documents that know a token, and least log ratio for a toxic label.
 LEAST_DOCUMENTS = 4
-LEAST_EVIDENCE = 2.5
+LEAST_EVIDENCE = 4.5
+#: Tokens expected to get evidence by chance alone.
+CHANCE = 0.05
 #: Tokens remembered by one worker.
 REMEMBERED = 300_000
 PREFIXES = (6, 5, 4)
@@ -199,7 +203,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Chain:
     picked = {c: usable.filter(F.col("toxic") == c).orderBy(by_chance).limit(SAMPLE).collect() for c in (0, 1)}
     # At most twice SAMPLE rows of two numbers, whatever the table's size.
     sample = spark.createDataFrame([r for c in (0, 1) for r in picked[c]], "doc_id long, toxic int")
-    sampled = texts(docs).join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    # Copies of a text say no more than the text.
+    sampled = texts(docs).join(F.broadcast(sample), "doc_id").select("text", "toxic").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, most=1_000_000):
@@ -211,8 +216,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Chain:
 
     n = {c: max(1, len(picked[c])) for c in (0, 1)}
     counted = sampled.mapInArrow(count, EVIDENCE).groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    ratio = F.log((F.col("toxic") + 0.1) / n[1]) - F.log((F.col("clean") + 0.1) / n[0])
-    known = counted.filter((F.col("toxic") >= LEAST_DOCUMENTS) & (ratio >= LEAST_EVIDENCE)).select("token", ratio.alias("ratio"))
+    t, c, share = F.col("toxic"), F.col("clean"), n[1] / (n[0] + n[1])
+    counted = stored(counted.filter(t >= LEAST_DOCUMENTS), "toxic-tokens")
+    # How much likelier the counts are than by chance; so high that among all tokens chance makes next to none.
+    gain = t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0)
+    ratio = F.log((t + 0.1) / n[1]) - F.log((c + 0.1) / n[0])
+    sure = math.log(max(1, counted.count()) / CHANCE)
+    known = counted.filter((gain >= sure) & (ratio >= LEAST_EVIDENCE)).select("token", ratio.alias("ratio"))
     chain = Chain(evidence={r["token"]: min(8.0, r["ratio"]) for r in known.collect()})
 
     small = spark.createDataFrame([r for c in (0, 1) for r in picked[c][:CHAIN_SAMPLE]], "doc_id long, toxic int")
