@@ -12,14 +12,15 @@ shingle sequences. With ``m`` shingles aligned out of ``a`` and ``b`` their
 likeness is ``m / (a + b - m)``; from 0.8 on they are linked. The band is no
 approximation: texts that alike differ by at most (a + b) / 9 shingles, so an
 alignment never leaves it. Linked texts form classes. A pair at the threshold
-is missed by all sketches once in some 10**5 times.
+is missed by all sketches three times in 10**5.
 
-No bucket is compared in all pairs. In each round every open bucket compares
-its members with a few anchors, its least ids, which then leave it; members
-already in the anchor's class are skipped, and a bucket closes once a single
-class is left in it. Near copies of one text close after one round, so the work
-is linear there, and yet no pair of different classes that shares a bucket is
-passed over.
+Members of a bucket are sorted into steps of length, of which only neighbours
+can be alike. First every member is compared with one anchor of its step and of
+the steps beside it, its bucket's least digest there; buckets left with a single class, such as those of
+near copies of one text, are done, and the work was linear. In the others each
+remaining pair of different classes is looked at in blocks of bounded size,
+whose common shingles are counted at once; only pairs that may reach the
+threshold are aligned, and only links, never pairs, leave a task.
 
 Cases: a null text equals an empty one. Equal texts are always one class. A
 text without words is linked to no other text. Rows that repeat an id stay or
@@ -30,6 +31,7 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +39,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabgrid import session
 from cabgrid.llm.common import batch_of, partitions, parts, rows_of, stored, texts
 from cabgrid.llm.exact_dedup import row_key
 from cabgrid.llm.words import Rolling, as_long, mixed, split, words_of
 
 SHINGLE = 5
 LIKENESS = 0.8
-SKETCHES = 16
-LEAST = 3
-#: Anchors of a bucket in every round after the first.
-ANCHORS = 16
+SKETCHES = 20
+LEAST = 4
+#: Texts and shingles of a block, and shingles counted at once for all pairs of two blocks.
+BLOCK_TEXTS = 512
+BLOCK_SHINGLES = 400_000
+COLUMNS = 4096
 SKETCHED = "doc_id long, digest string, size int, sketches array<long>"
 VERDICTS = "a string, b string, alike boolean"
 U = np.uint64
@@ -198,48 +203,140 @@ def stars(links: DataFrame) -> DataFrame:
 def links_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Stars that join the digests of linked texts."""
     spark = docs.sparkSession
-    texts_ = found.filter("size > 0").groupBy("digest").agg(F.first("size").alias("size"), F.first("sketches").alias("sketches"))
-    spread = texts_.select("digest", "size", F.posexplode("sketches").alias("turn", "bucket")).select(
-        F.xxhash64("turn", "bucket").alias("bucket"), "digest", "size"
+    texts_ = found.filter("size > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("sketches").alias("sketches")
+    )
+    spread = texts_.select("digest", "doc_id", "size", F.posexplode("sketches").alias("turn", "bucket")).select(
+        F.xxhash64("turn", "bucket").alias("bucket"),
+        "digest",
+        "doc_id",
+        "size",
+        # Texts that are alike are at most one step of length apart.
+        F.floor(F.log("size") / math.log(1 / LIKENESS)).cast("int").alias("step"),
     )
     shared = spread.groupBy("bucket").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low < high")
     members = stored(spread.join(shared.select("bucket"), "bucket"), "near-buckets")
-    wanted = members.select("digest").distinct()
-    contents = stored(
-        texts(docs).select(F.md5("text").alias("digest"), "text").join(wanted, "digest", "left_semi").dropDuplicates(["digest"]),
-        "near-texts",
+    # One row of each text is fetched, by its id, so that copies of a text don't travel; by digest where it has no id.
+    wanted = members.select("digest", "doc_id").distinct()
+    rows = texts(docs).select("doc_id", F.md5("text").alias("digest"), "text")
+    by_id = rows.join(wanted.select("doc_id", F.col("digest").alias("wanted")), "doc_id").filter("digest = wanted")
+    no_id = rows.filter("doc_id IS NULL").join(wanted.filter("doc_id IS NULL").select("digest"), "digest", "left_semi")
+    found_texts = by_id.select("digest", "text").unionByName(no_id.select("digest", "text"))
+    contents = stored(found_texts.dropDuplicates(["digest"]), "near-texts")
+    members = members.drop("doc_id")
+    members = still_open(members, spark.createDataFrame([], "a string, b string"))
+    anchors = members.groupBy("bucket", "step").agg(F.min(F.struct("digest", "size")).alias("anchor"))
+    near_steps = F.explode(F.array(*(F.col("step") + d for d in (-1, 0, 1))))
+    fits = F.least("size", "anchor.size") >= LIKENESS * F.greatest("size", "anchor.size")
+    pairs = (
+        members.join(anchors.select("bucket", near_steps.alias("step"), "anchor"), ["bucket", "step"])
+        .filter((F.col("digest") != F.col("anchor.digest")) & fits)
+        .select(F.greatest("digest", "anchor.digest").alias("a"), F.least("digest", "anchor.digest").alias("b"))
+        .distinct()
     )
-    links = spark.createDataFrame([], "a string, b string")
-    done = spark.createDataFrame([], "a string, b string")
-    anchors_per_round = 1
-    while True:
-        label = links.select(F.col("a").alias("digest"), F.col("b").alias("label"))
-        labels = members.join(label, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-        still = labels.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
-        members = stored(labels.join(still.select("bucket"), "bucket", "left_semi"), "near-buckets")
-        if members.isEmpty():
-            return links
-        if anchors_per_round == 1:
-            least = members.groupBy("bucket").agg(F.min(F.struct("digest", "size", "label")).alias("anchor"))
-        else:
-            nth = F.row_number().over(Window.partitionBy("bucket").orderBy("digest"))
-            ranked = members.withColumn("nth", nth).filter(F.col("nth") <= anchors_per_round)
-            least = ranked.select("bucket", F.struct("digest", "size", "label").alias("anchor"))
-        least = stored(least, "near-anchors")
-        fits = F.least("size", "anchor.size") >= LIKENESS * F.greatest("size", "anchor.size")
-        pairs = (
-            members.join(least, "bucket")
-            .filter((F.col("digest") > F.col("anchor.digest")) & (F.col("label") != F.col("anchor.label")) & fits)
-            .select(F.col("digest").alias("a"), F.col("anchor.digest").alias("b"))
-            .distinct()
-            .join(done, ["a", "b"], "left_anti")
+    links = stars(compared(pairs, contents).filter("alike").select("a", "b"))
+    return stars(links.unionByName(compared_in_blocks(still_open(members, links), contents)))
+
+
+def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members, with the class each is in, of the buckets that hold more than one class."""
+    label = links.select(F.col("a").alias("digest"), F.col("b").alias("label"))
+    labels = members.select("bucket", "step", "digest", "size").join(label, "digest", "left")
+    labels = labels.withColumn("label", F.coalesce("label", "digest"))
+    still = labels.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
+    return stored(labels.join(still.select("bucket"), "bucket", "left_semi"), "near-buckets")
+
+
+def compared_in_blocks(members: DataFrame, contents: DataFrame) -> DataFrame:
+    """Links between members of a bucket that are in different classes; every such pair is looked at.
+
+    A bucket of at most ``BLOCK_TEXTS`` texts and ``BLOCK_SHINGLES`` shingles is
+    one block. A larger one is dealt to blocks of that size by step and hash,
+    and each pair of blocks of the same or of neighbouring steps is a group of its own,
+    so no group outgrows two blocks. Pairs never become rows: a group
+    counts the common shingles of all its pairs at once, aligns those that may
+    reach the threshold, and gives back no more links than it has texts.
+    """
+    n = partitions(members.sparkSession)
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    whole = members.groupBy("bucket").agg(blocks.alias("blocks"))
+    small = members.join(whole.filter("blocks = 1"), "bucket").select(
+        "bucket", "digest", "label", F.expr("array(struct(-1 AS low, -1 AS high, 0 AS i, 0 AS j, 0 AS side)) AS places")
+    )
+    large = members.join(whole.filter("blocks > 1").select("bucket"), "bucket", "left_semi")
+    units = large.groupBy("bucket", "step").agg(blocks.alias("blocks"))
+    dealt = large.join(units, ["bucket", "step"])
+    for name, d in (("above", 1), ("below", -1)):
+        dealt = dealt.join(
+            units.select("bucket", (F.col("step") - d).alias("step"), F.col("blocks").alias(name)), ["bucket", "step"], "left"
         )
-        verdicts = stored(compared(pairs, contents), "near-verdicts")
-        done = done.unionByName(verdicts.select("a", "b"))
-        links = stars(links.unionByName(verdicts.filter("alike").select("a", "b")))
-        used = least.select("bucket", F.col("anchor.digest").alias("digest"))
-        members = members.drop("label").join(used, ["bucket", "digest"], "left_anti")
-        anchors_per_round = ANCHORS
+    places = """concat(
+      transform(sequence(0, blocks - 1), x -> struct(
+        step AS low, step AS high, least(x, block) AS i, greatest(x, block) AS j, IF(block < x, 0, 1) AS side)),
+      IF(above > 0, transform(sequence(0, above - 1), x -> struct(
+        step AS low, step + 1 AS high, block AS i, x AS j, 0 AS side)), array()),
+      IF(below > 0, transform(sequence(0, below - 1), x -> struct(
+        step - 1 AS low, step AS high, x AS i, block AS j, 1 AS side)), array())) AS places"""
+    dealt = dealt.withColumn("block", F.expr("CAST(pmod(xxhash64(digest), blocks) AS INT)"))
+    rows = small.unionByName(dealt.select("bucket", "digest", "label", F.expr(places)))
+    rows = rows.select("bucket", "digest", "label", F.explode("places").alias("place")).select(
+        "bucket", "digest", "label", "place.*"
+    )
+    group = ["bucket", "low", "high", "i", "j"]
+    spread = rows.join(contents, "digest").repartition(n, *group).sortWithinPartitions(*group, "digest")
+    return spread.select(*group, "side", "digest", "label", "text").mapInArrow(linked_groups, "a string, b string")
+
+
+def linked_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links found in each run of rows with the same group."""
+    last, held = None, []
+    for batch in parts(batches):
+        found: list[tuple[str, str]] = []
+        for *key, side, digest, label, text in zip(*(c.to_pylist() for c in batch.columns)):
+            if key != last:
+                found += links_in(held, last)
+                last, held = key, []
+            held.append((side, digest, label, text))
+        yield rows_of("a string, b string", found)
+    yield rows_of("a string, b string", links_in(held, last))
+
+
+def links_in(rows: list[tuple[int, str, str, str]], key: list | None) -> list[tuple[str, str]]:
+    """Links that join different classes among ``rows``; between two blocks, only pairs across them are looked at."""
+    if len({label for _, _, label, _ in rows}) < 2:
+        return []
+    across = key[1] != key[2] or key[3] != key[4]
+    shingles, of, sizes = shingles_of([text for *_, text in rows])
+    bounds = np.append(0, np.cumsum(sizes))
+    names, place, often = np.unique(shingles, return_inverse=True, return_counts=True)
+    twice = np.cumsum(often > 1) - 1
+    keep = often[place] > 1
+    column, row = twice[place[keep]], of[keep]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    common = np.zeros((len(rows), len(rows)), dtype=np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [first, first + COLUMNS])
+        there = np.zeros((len(rows), COLUMNS), dtype=np.float32)
+        there[row[a:b], column[a:b] - first] = 1
+        common += there @ there.T
+    need = LIKENESS / (1 + LIKENESS) * (sizes[:, None] + sizes[None, :]) - 1e-6
+    side = np.array([r[0] for r in rows])
+    may = np.triu((common >= need) & ((side[:, None] != side[None, :]) | (not across)), 1)
+    root: dict[str, str] = {}
+
+    def find(x: str) -> str:
+        while x in root:
+            x = root[x]
+        return x
+
+    out = []
+    for x, y in np.argwhere(may).tolist():
+        one, two = find(rows[x][2]), find(rows[y][2])
+        if one != two and alike(shingles[bounds[x] : bounds[x + 1]], shingles[bounds[y] : bounds[y + 1]]):
+            root[one] = two
+            out.append((rows[x][1], rows[y][1]))
+    return out
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

@@ -98,19 +98,20 @@ def test_near_empty(empty):
     assert near_dedup.near_classes(empty).count() == 0
 
 
-def test_buckets_of_several_classes_lose_no_link(spark, monkeypatch):
-    """All texts share one bucket, anchors are spent two at a time, and still every pair is compared."""
-    monkeypatch.setattr(near_dedup, "ANCHORS", 2)
+@pytest.mark.parametrize("block", [3, 512])
+def test_buckets_of_several_classes_lose_no_link(spark, monkeypatch, block):
+    """All texts share one bucket, of one block or of many, and still every pair is compared."""
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", block)
     rows = []
-    for family in range(5):
-        body = [f"f{family}x{i}" for i in range(60)]
-        for copy in range(3):
+    for family in range(7):
+        body = [f"f{family}x{i}" for i in range(60 + family)]
+        for copy in range(4):
             body[10 * copy] = f"c{family}{copy}"
             rows.append((family * 10 + copy, " ".join(body)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = near_dedup.sketched(df).selectExpr("doc_id", "digest", "size", "array(1L) AS sketches")
     links = near_dedup.links_of(df, found).collect()
-    assert len(links) == 10 and len({r.b for r in links}) == 5
+    assert len(links) == 21 and len({r.b for r in links}) == 7
 
 
 def test_alike_equals_the_full_table():
