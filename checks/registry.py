@@ -301,7 +301,9 @@ STATION_TEXT = """SELECT station_key::VARCHAR AS station_key, station_name, fast
 @register("s4_station_csv", query(STATION_TEXT, "stations_csv"))
 def s4(spark, sf):
     path = session.scratch_path(spark, "stations-csv")
-    fx.stations_csv(spark, sf).write.option("header", True).csv(path)
+    # Blanks are part of the text.
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    fx.stations_csv(spark, sf).write.options(header=True, **blanks).csv(path)
     keyed = T.StructType([T.StructField("station_key", T.StringType()), *schemas.STATIONS_CSV.fields])
     return src.read_csv_text(spark, path, keyed).select(
         "station_key",
