@@ -1,14 +1,15 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
 A text is its sequence of five-word shingles (all words, where it has fewer
-than five), each labelled with how often it has occurred so far. For each of
+than five). For the sketches each is labelled with how often it has occurred so far. For each of
 ``SKETCHES`` hash functions the ``LEAST`` labelled shingles with the least
 hashes are taken and put back into text order; one hash of that short sequence
-is the sketch. Two texts agree in a sketch about as often as a random few of
+is the sketch. A text in which shingles recur has further sketches, whose labels
+count from its end, as an edit renumbers the copies behind it. Two texts agree in a sketch about as often as a random few of
 their shingles are common to both and stand in the same order.
 
 Texts that agree in a sketch are compared by a banded alignment of their
-shingle sequences. With ``m`` shingles aligned out of ``a`` and ``b`` their
+shingle sequences, without labels: a passage that recurs aligns with any of its copies. With ``m`` shingles aligned out of ``a`` and ``b`` their
 likeness is ``m / (a + b - m)``; from 0.8 on they are linked. The band is no
 approximation: texts that alike differ by at most (a + b) / 9 shingles, so an
 alignment never leaves it. Linked texts form classes. A pair at the threshold
@@ -72,18 +73,19 @@ def labelled(hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
 
 
 def shingles_of(texts_: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Labelled shingles of all texts end to end, the text of each, and the number of each text."""
+    """Shingles of all texts end to end, the text of each, and the number of each text."""
     words = words_of(texts_)
     n = words.end - words.begin
     sizes = np.where(n >= SHINGLE, n - SHINGLE + 1, np.minimum(n, 1))
     of = np.repeat(np.arange(len(texts_)), sizes)
     first = words.begin[of] + np.arange(len(of)) - (np.cumsum(sizes) - sizes)[of]
-    return labelled(Rolling(words.hashes).of(first, np.minimum(SHINGLE, n)[of]), of), of, sizes
+    return Rolling(words.hashes).of(first, np.minimum(SHINGLE, n)[of]), of, sizes
 
 
-def sketches(shingles: np.ndarray, of: np.ndarray, sizes: np.ndarray, count: int = SKETCHES, least: int = LEAST) -> np.ndarray:
-    """One row of ``count`` sketches per text; texts without shingles give zeros."""
+def sketches(shingles: np.ndarray, of: np.ndarray, sizes: np.ndarray, count: int = SKETCHES, least: int = LEAST, back: bool = False) -> np.ndarray:
+    """One row of ``count`` sketches per text, with labels from its start or its end; texts without shingles give zeros."""
     out = np.zeros((len(sizes), count), dtype=U)
+    shingles = labelled(shingles[::-1], of[::-1])[::-1] if back else labelled(shingles, of)
     # Some 40 of a text's shingles lie below its bound; where fewer than needed do, all are looked at.
     share = np.minimum(1.0, 40 / np.maximum(sizes, 1))
     bound = np.where(share < 1, share * 2.0**64, 2.0**64 - 2048).astype(U)[of]
@@ -113,13 +115,24 @@ def sketches(shingles: np.ndarray, of: np.ndarray, sizes: np.ndarray, count: int
     return out
 
 
+def all_sketches(shingles: np.ndarray, of: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The sketches of each text, from both ends where shingles recur in it."""
+    out = list(as_long(sketches(shingles, of, sizes)))
+    again = np.unique(of[labelled(shingles, of) != mixed(shingles)])
+    if len(again):
+        some = np.isin(of, again)
+        more = as_long(sketches(shingles[some], np.searchsorted(again, of[some]), sizes[again], back=True))
+        for text, row in zip(again, more):
+            out[text] = np.append(out[text], row)
+    return out
+
+
 def sketched(docs: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             doc_ids, digests, found = batch.columns
             shingles, of, sizes = shingles_of(found.to_pylist())
-            table = as_long(sketches(shingles, of, sizes))
-            yield batch_of(SKETCHED, doc_ids, digests, sizes, list(table))
+            yield batch_of(SKETCHED, doc_ids, digests, sizes, all_sketches(shingles, of, sizes))
 
     keyed = texts(docs).select("doc_id", F.md5("text").alias("digest"), "text")
     return keyed.mapInArrow(emit, SKETCHED)
@@ -145,9 +158,13 @@ def aligned(a: list[int], b: list[int], band: int) -> int:
 
 
 def alike(a: np.ndarray, b: np.ndarray, likeness: float = LIKENESS) -> bool:
-    """Whether two sequences of labelled shingles reach ``likeness``."""
+    """Whether two sequences of shingles reach ``likeness``."""
     need = likeness / (1 + likeness) * (len(a) + len(b)) - 1e-9
-    if min(len(a), len(b)) < need or len(np.intersect1d(a, b, assume_unique=True)) < need:
+    if min(len(a), len(b)) < need:
+        return False
+    # Labels make the shingles of a text differ, so this counts what is common with repeats.
+    once = (labelled(x, np.zeros(len(x), dtype=np.int64)) for x in (a, b))
+    if len(np.intersect1d(*once, assume_unique=True)) < need:
         return False
     short = min(len(a), len(b))
     differ = np.nonzero(a[:short] != b[:short])[0]
@@ -206,8 +223,9 @@ def links_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     texts_ = found.filter("size > 0").groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("sketches").alias("sketches")
     )
-    spread = texts_.select("digest", "doc_id", "size", F.posexplode("sketches").alias("turn", "bucket")).select(
-        F.xxhash64("turn", "bucket").alias("bucket"),
+    spread = texts_.select("digest", "doc_id", "size", F.explode(F.array_distinct("sketches")).alias("sketch")).select(
+        # A sketch holds its turn, and the same from either end.
+        F.xxhash64("sketch").alias("bucket"),
         "digest",
         "doc_id",
         "size",
@@ -308,7 +326,7 @@ def links_in(rows: list[tuple[int, str, str, str]], key: list | None) -> list[tu
     across = key[1] != key[2] or key[3] != key[4]
     shingles, of, sizes = shingles_of([text for *_, text in rows])
     bounds = np.append(0, np.cumsum(sizes))
-    names, place, often = np.unique(shingles, return_inverse=True, return_counts=True)
+    names, place, often = np.unique(labelled(shingles, of), return_inverse=True, return_counts=True)
     twice = np.cumsum(often > 1) - 1
     keep = often[place] > 1
     column, row = twice[place[keep]], of[keep]

@@ -132,6 +132,49 @@ def test_sketches_see_order():
     assert (found[0] == found[2]).all() and (found[0] != found[1]).mean() > 0.5
 
 
+def recurring():
+    """Pairs of near copies in which a passage recurs and its first copy was dropped or edited."""
+    rng = np.random.default_rng(11)
+    word = lambda n: [f"r{x}" for x in rng.integers(0, 10**9, n)]
+    chorus, header, sentence, line = word(30), word(20), word(12), word(30)
+    verses, bodies = [word(60), word(70), word(80)], [word(40) for _ in range(6)]
+    song, sheet = [w for v in verses for w in v + chorus], [w for x in bodies for w in header + x]
+    return {
+        "chorus": (song, song[:60] + song[90:]),
+        "header": (sheet, sheet[20:]),
+        "sentence": (sentence * 10, sentence[:5] + ["edited"] + sentence[6:] + sentence * 9),
+        "line": (line * 8, line[:3] + ["edited"] + line[4:] + line * 7),
+    }
+
+
+@pytest.mark.parametrize("name", ["chorus", "header", "sentence", "line"])
+def test_recurring_passages_stay_alike(name):
+    one, two = (" ".join(x) for x in recurring()[name])
+    a, b = shingles(one), shingles(two)
+    m = common(a, b)
+    assert m / (len(a) + len(b) - m) >= 0.8
+    found, _, sizes = near_dedup.shingles_of([one, two])
+    assert near_dedup.alike(found[: sizes[0]], found[sizes[0] :])
+    key = ["bucket", 1, 1, 0, 0]
+    assert near_dedup.links_in([(0, "a", "a", one), (0, "b", "b", two)], key) == [("a", "b")]
+
+
+def test_recurring_passages_are_one_class(spark):
+    rows = [(2 * i + at, " ".join(x)) for i, pair in enumerate(recurring().values()) for at, x in enumerate(pair)]
+    got = near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i in range(8)}
+
+
+def test_sketches_from_the_end_survive_a_dropped_first_copy():
+    one, two = (" ".join(x) for x in recurring()["chorus"])
+    front, back = (
+        np.mean(x[0] == x[1]) for x in (near_dedup.sketches(*near_dedup.shingles_of([one, two]), count=400, back=b) for b in (False, True))
+    )
+    assert back > front + 0.1
+    found = near_dedup.all_sketches(*near_dedup.shingles_of([one, "a text of its own without any repeat"]))
+    assert [len(x) for x in found] == [2 * near_dedup.SKETCHES, near_dedup.SKETCHES]
+
+
 def removed(rows, n=13):
     first = {}
     for doc_id, text, *_ in sorted(rows, key=lambda r: r[0]):
