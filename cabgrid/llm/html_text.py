@@ -3,7 +3,8 @@
 1. Every page is read into blocks of text, each with the path of the containers
    around it: tags with their classes, digits left out. Navigation, headers and
    footers of the page, sidebars, forms, scripts, notices, adverts and comments
-   are known by tag, class or id and left out.
+   are known by tag, class or id and left out. A class or id never leaves out
+   html, body, main or article, nor a container with most of the text outside links.
 2. A page votes for one path: the deepest container that still holds most of
    the text outside links. Votes are summed per host and path in Spark.
 3. The paths with the most votes of a host, those with at least a quarter of the
@@ -57,6 +58,8 @@ MARKS = frozenset(
     " menus breadcrumb breadcrumbs sidebar aside related recommended recommendations share sharing social comment comments"
     " disqus respond reply replies footer masthead topbar toolbar widget widgets pagination pager tags copyright".split()
 )
+#: Elements that their class or id never marks: they hold the page or the article.
+WHOLE = frozenset("html body main article".split())
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
@@ -66,28 +69,30 @@ SPLIT = re.compile(r"[^a-z]+")
 SPACE = re.compile(r"\s+")
 
 
-def described(tag: str, attributes: str) -> tuple[str, bool]:
-    """A container's place in a path, and whether class, id or role tells that it's outside the article."""
+def described(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """A container's place in a path, and whether a role or hiding, and whether a class or id, tells that it's outside the article."""
     if not attributes or attributes.isspace():
-        return tag, False
-    classes, outside = "", False
+        return tag, False, False
+    classes, outside, marked = "", False, False
     for name, value in NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "class":
             classes = ".".join(sorted(x for x in (re.sub(r"\d+", "", c) for c in value.split()) if x))
         if name in ("class", "id"):
-            outside = outside or not MARKS.isdisjoint(SPLIT.split(value))
+            marked = marked or (tag not in WHOLE and not MARKS.isdisjoint(SPLIT.split(value)))
         elif name == "role":
             outside = outside or value in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert")
         elif name == "hidden" or value == "true":
             outside = True
-    return (f"{tag}.{classes}" if classes else tag), outside
+    return (f"{tag}.{classes}" if classes else tag), outside, marked
 
 
 def blocks_of(page: str) -> list[tuple[str, str, int]]:
     """Path, text and characters outside links of each block of the page, in page order."""
-    found: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path, outside
+    found: list[tuple[str, str, int, tuple[int, ...]]] = []
+    stack: list[tuple[str, str, bool, tuple[int, ...]]] = []  # tag, path, outside, marks
+    # A container with a marking class or id is known by its place in the page until all text has been seen.
+    marks: tuple[int, ...] = ()
     pieces: list[str] = []
     linked = link_depth = 0
     path, outside = "", False
@@ -97,7 +102,7 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
         if pieces and not outside:
             text = SPACE.sub(" ", html.unescape("".join(pieces))).strip()
             if text:
-                found.append((path, text, max(0, len(text) - linked)))
+                found.append((path, text, max(0, len(text) - linked), marks))
         pieces.clear()
         linked = 0
 
@@ -126,23 +131,23 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
             continue
         if name not in BLOCKS:
             if not closing and name not in VOID and not outside and tag[4]:
-                if described(name, tag[4])[1]:
-                    stack.append((name, path, outside))
+                if any(described(name, tag[4])[1:]):
+                    stack.append((name, path, outside, marks))
                     outside = True
             elif closing and outside and stack and stack[-1][0] == name:
-                _, path, outside = stack.pop()
+                _, path, outside, marks = stack.pop()
             continue
         flush()
         if closing:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
-                    _, path, outside = stack[depth]
+                    _, path, outside, marks = stack[depth]
                     del stack[depth:]
                     break
             continue
         if name in VOID:
             continue
-        label, marked = described(name, tag[4])
+        label, off, marked = described(name, tag[4])
         if name in RAW:
             close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
@@ -151,14 +156,27 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
             # Such an element ends where the next one of its kind begins.
             kin = {"p", "h1", "h2", "h3", "h4", "h5", "h6"} if name[0] in "ph" else {name}
             if stack and stack[-1][0] in kin:
-                _, path, outside = stack.pop()
-        in_article = any(t in ("article", "main") for t, _, _ in stack)
-        stack.append((name, path, outside))
-        outside = outside or marked or name in OUTSIDE or (name == "header" and not in_article)
+                _, path, outside, marks = stack.pop()
+        in_article = any(t in ("article", "main") for t, *_ in stack)
+        stack.append((name, path, outside, marks))
+        if marked and name in CONTAINERS:
+            marks = (*marks, at)
+        outside = outside or off or (marked and name not in CONTAINERS) or name in OUTSIDE or (name == "header" and not in_article)
         if name in CONTAINERS:
             path = f"{path}/{label}"
     flush()
-    return found
+    return unmarked(found)
+
+
+def unmarked(found: list[tuple[str, str, int, tuple[int, ...]]]) -> list[tuple[str, str, int]]:
+    """The blocks outside marked containers; a container with most of the text outside links isn't taken as marked."""
+    total = sum(chars for _, _, chars, _ in found)
+    held: dict[int, int] = {}
+    for _, _, chars, marks in found:
+        for mark in marks:
+            held[mark] = held.get(mark, 0) + chars
+    out = {mark for mark, chars in held.items() if not total or chars < MOST * total}
+    return [(path, text, chars) for path, text, chars, marks in found if out.isdisjoint(marks)]
 
 
 def inside(path: str, container: str) -> bool:

@@ -262,3 +262,19 @@ def test_the_host_decides(spark):
     rows.append((9, "http://a.example/", usual.format("short story", "extra " * 100)))
     got = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[9] == "short story"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<html><body class="single has-sidebar">{}<div class=sidebar>off</div></body></html>',
+        '<body class="no-comments nav-fixed"><div class=story>{}</div></body>',
+        '<body><article class="post tags-x">{}</article></body>',
+        '<body><main id="content-sidebar-right">{}<div class=comments>off</div></main></body>',
+        '<html class="popup"><body><div class="layout sidebar-left"><div class=text>{}</div></div><p class=alert>off</body>',
+    ],
+)
+def test_classes_of_whole_pages_leave_nothing_out(page):
+    text = "the text of the article " * 20
+    blocks = html_text.blocks_of(page.format(f"<p>{text}</p>"))
+    assert [b[1] for b in blocks] == [text.strip()]
