@@ -6,7 +6,8 @@
    are known by tag, class or id and left out. A class or id never leaves out
    html, body, main or article, nor a container with most of the text outside links.
 2. A page votes for one path: the deepest container that still holds most of
-   the text outside links. Votes are summed per host and path in Spark.
+   the text outside links, or from there up the nearest article or main, or else the
+   uppermost container below body with text of its own beside it. Votes are summed per host and path in Spark.
 3. The paths with the most votes of a host, those with at least a quarter of the
    winner's, extract every page of that host again. A page without any of
    them falls back to its own vote.
@@ -184,7 +185,7 @@ def inside(path: str, container: str) -> bool:
 
 
 def vote(blocks: list[tuple[str, str, int]]) -> tuple[str, int]:
-    """The deepest path that holds most of the page's text outside links, and how much; ties to the first in order."""
+    """The path of the whole article around the deepest one with most of the page's text outside links, and its text; ties to the first in order."""
     held: dict[str, int] = {}
     for path, _, chars in blocks:
         names = path.split("/")
@@ -194,7 +195,16 @@ def vote(blocks: list[tuple[str, str, int]]) -> tuple[str, int]:
     total = sum(chars for _, _, chars in blocks)
     fit = [(p.count("/"), c, p) for p, c in held.items() if c >= MOST * total]
     depth, chars, path = max(fit, key=lambda x: (x[0], x[1], [-ord(ch) for ch in x[2]]), default=(0, 0, ""))
-    return path, chars
+    path = whole(path, {p for p, _, c in blocks if c})
+    return path, held.get(path, 0)
+
+
+def whole(path: str, direct: set[str]) -> str:
+    """The nearest article or main from ``path`` up; without one, the uppermost container below body that text stands in directly."""
+    names = path.split("/")
+    above = [(names[depth - 1].split(".")[0], "/".join(names[:depth])) for depth in range(len(names), 1, -1)]
+    article = next((p for tag, p in above if tag in ("article", "main")), None)
+    return article or next((p for tag, p in reversed(above) if tag not in ("html", "body") and p in direct), path)
 
 
 def extracted(page: str, paths: list[str]) -> str:

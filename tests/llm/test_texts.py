@@ -278,3 +278,18 @@ def test_classes_of_whole_pages_leave_nothing_out(page):
     text = "the text of the article " * 20
     blocks = html_text.blocks_of(page.format(f"<p>{text}</p>"))
     assert [b[1] for b in blocks] == [text.strip()]
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div class=post"])
+def test_a_page_votes_for_the_whole_article(around):
+    tag, body = around.split()[0], "body " * 200
+    page = f"<body><{around}><h1>Headline</h1><p>Lead</p><div class=body><p>{body}</p></div><p>Closing</p></{tag}><div class=box>box</div></body>"
+    blocks = html_text.blocks_of(page)
+    path, _ = html_text.vote(blocks)
+    assert path == ("/body/div.post" if tag == "div" else f"/body/{tag}")
+    assert html_text.extracted(page, [path]) == f"Headline\nLead\n{body.strip()}\nClosing"
+
+
+def test_an_article_of_one_table_keeps_its_headline():
+    page = "<body><article><h1>Headline</h1><table><tr><td>" + "cell " * 200 + "</table></article></body>"
+    assert html_text.extracted(page, []).startswith("Headline\n")
