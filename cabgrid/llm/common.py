@@ -65,6 +65,7 @@ ARROW = {
     "string": pa.string(),
     "boolean": pa.bool_(),
     "binary": pa.binary(),
+    "array<string>": pa.list_(pa.string()),
     "array<long>": pa.list_(pa.int64()),
     "array<int>": pa.list_(pa.int32()),
     "array<double>": pa.list_(pa.float64()),

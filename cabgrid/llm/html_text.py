@@ -12,8 +12,9 @@
    winner's, extract every page of that host again. A page without any of
    them falls back to its own vote.
 
-Votes are summed before they move. The pages of a host are dealt over
-``SPREAD`` salts, and the winners of each host are copied to all of them.
+Votes are summed before they move. Each page meets the winners among its own
+containers as rows, so no list outgrows a page. The pages and the paths of a host
+are dealt over ``SPREAD`` salts, to which winners and most votes are copied.
 
 Cases: a null html is an empty page with an empty text; a page whose url has no
 host votes with all of its kind; ties go to more text, then to the first
@@ -29,15 +30,15 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabgrid.llm.common import parts, rows_of
+from cabgrid.llm.common import parts, rows_of, stored
 
 SPREAD = 16
 #: Share of a page's text that the chosen container must hold, and share of the winner's votes for a further path.
 MOST, ALSO = 0.8, 0.25
-VOTES = "host string, path string, chars long"
+VOTES = "key string, host string, salt int, path string, chars long, paths array<string>"
 PAGES = "page_id long, url string, text string, n_chars long"
 
 CONTAINERS = frozenset("html body main article section div td table tbody tr ul ol dl blockquote center fieldset figure".split())
@@ -221,32 +222,36 @@ def host_of(url: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1), F.lit("")))
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """Per host, the paths that win its vote."""
+def page_paths(pages: DataFrame) -> DataFrame:
+    """Per page, by its ``key``, those of its containers that win the vote of its host."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, column="html"):
-            hosts, found = (c.to_pylist() for c in batch.columns)
             rows = []
-            for host, page in zip(hosts, found):
-                path, chars = vote(blocks_of(page))
-                if chars:
-                    rows.append((host, path, chars))
+            for key, host, salt, page in zip(*(c.to_pylist() for c in batch.columns)):
+                blocks = blocks_of(page)
+                names = [path.split("/") for path in {path for path, *_ in blocks}]
+                paths = {"/".join(n[:depth]) for n in names for depth in range(1, len(n) + 1)}
+                rows.append((key, host, salt, *vote(blocks), sorted(paths)))
             yield rows_of(VOTES, rows)
 
-    ballots = pages.select("host", "html").mapInArrow(emit, VOTES)
-    sums = ballots.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("chars").alias("chars"))
-    most = F.max("votes").over(Window.partitionBy("host"))
-    winners = sums.withColumn("most", most).filter(F.col("votes") >= ALSO * F.col("most"))
-    return winners.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt")
+    ballots = stored(pages.select("key", "host", "salt", "html").mapInArrow(emit, VOTES), "page-votes")
+    sums = ballots.filter("chars > 0").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"))
+    most = sums.groupBy("host").agg(F.max("votes").alias("most")).select("host", "most", salts)
+    dealt = sums.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SPREAD)).cast("int"))
+    winners = dealt.join(most, ["host", "salt"]).filter(F.col("votes") >= ALSO * F.col("most")).select("host", "path", salts)
+    own = ballots.select("key", "host", "salt", F.explode("paths").alias("path"))
+    return own.join(winners, ["host", "path", "salt"]).groupBy("key").agg(F.sort_array(F.collect_set("path")).alias("paths"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """One row per page with its main text and the number of its characters."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SPREAD)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-    winners = host_paths(rows).select("host", "paths", salts.alias("salt"))
+    fields = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("page_id", "url", "html"))
+    rows = rows.withColumn("key", F.md5(F.concat_ws("\x00", *fields)))
+    chosen = page_paths(rows)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, column="html"):
@@ -256,5 +261,5 @@ def main_texts(pages: DataFrame) -> DataFrame:
                 out.append((page_id, url, text, len(text)))
             yield rows_of(PAGES, out)
 
-    joined = rows.join(winners, ["host", "salt"], "left").select("page_id", "url", "html", "paths")
+    joined = rows.join(chosen, "key", "left").select("page_id", "url", "html", "paths")
     return joined.mapInArrow(emit, PAGES)

@@ -293,3 +293,13 @@ def test_a_page_votes_for_the_whole_article(around):
 def test_an_article_of_one_table_keeps_its_headline():
     page = "<body><article><h1>Headline</h1><table><tr><td>" + "cell " * 200 + "</table></article></body>"
     assert html_text.extracted(page, []).startswith("Headline\n")
+
+
+def test_no_list_grows_with_a_host_of_one_class_per_page(spark):
+    name = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    rows = [(i, "http://a.example/", f"<body><div class=p{name(i)}><p>text {i}</div><div>x</div></body>") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    keyed = pages.selectExpr("*", "'a.example' AS host", "0 AS salt", "CAST(page_id AS STRING) AS key")
+    found = html_text.page_paths(keyed).collect()
+    assert len(found) == 300 and all(len(r.paths) == 1 for r in found)
+    assert {r.page_id: r.text for r in html_text.main_texts(pages).collect()} == {i: f"text {i}" for i in range(300)}
