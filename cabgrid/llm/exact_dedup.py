@@ -1,8 +1,8 @@
-"""Exact dedup by content sort, in DataFrame operations only.
+"""Exact dedup by ranges of content, in DataFrame operations only.
 
 Rows are range-partitioned by the beginning of their text with splitters that
-Spark samples, each partition is sorted with spilling, and equal texts, now
-neighbours, are compared whole. A hash of the text and one of the id follow the
+Spark samples, and in each partition an aggregate on the whole text, by hash
+with a sort as fallback, finds equal texts. A hash of the text and one of the id follow the
 beginning in the range key: the first tells texts with a common beginning
 apart, the second lets a text with very many copies fall into several cells of
 neighbouring partitions. A cell keeps one row. The cells of a text then meet by
