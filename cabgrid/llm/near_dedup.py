@@ -12,8 +12,9 @@ Texts that agree in a sketch are compared by a banded alignment of their
 shingle sequences, without labels: a passage that recurs aligns with any of its copies. With ``m`` shingles aligned out of ``a`` and ``b`` their
 likeness is ``m / (a + b - m)``; from 0.8 on they are linked. The band is no
 approximation: texts that alike differ by at most (a + b) / 9 shingles, so an
-alignment never leaves it. Linked texts form classes. A pair at the threshold
-is missed by all sketches three times in 10**5.
+alignment never leaves it. Linked texts form classes. A pair of long texts
+at the threshold without recurring shingles is missed by all sketches three times in 10**5, of short
+ones more often: 4 against 5 shingles in 1.2 % of cases.
 
 Members of a bucket are sorted into steps of length, of which only neighbours
 can be alike. First every member is compared with one anchor of its step and of
