@@ -12,9 +12,11 @@ from cabgrid.llm import (
     fingerprints,
     html_text,
     language_id,
+    merkle,
     mixing,
     near_dedup,
     packing,
+    prefix_trie,
     substring_dedup,
     token_files,
     toxicity,
@@ -108,3 +110,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its margins, its calibrated probability, and whether it is kept."""
     return mixing.mixing_rows(table(spark, sf_dir, "documents"))
+
+
+@register("op11_merkle_manifest", merkle.manifest_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots, proof, and whether the tampered document still verifies."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@register("op13_conversation_trie", prefix_trie.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations, with its members, leaves and savings."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
