@@ -17,6 +17,7 @@ from cabgrid.llm import (
     near_dedup,
     packing,
     prefix_trie,
+    simhash,
     substring_dedup,
     token_files,
     toxicity,
@@ -118,6 +119,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+@register("op12_simhash_near_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the least id of its component of linked fingerprints."""
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
 @register("op13_conversation_trie", prefix_trie.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct beginning of the rebuilt conversations, with its members, leaves and savings."""

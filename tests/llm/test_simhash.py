@@ -1,0 +1,150 @@
+import random
+import re
+
+import numpy as np
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tests.llm.conftest import SCHEMA
+
+from cabgrid.llm import simhash
+
+
+def brute_fingerprint(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    found = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not found:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(found[i : i + 4]).encode(), 42) for i in range(max(1, len(found) - 3))]
+    return sum(1 << bit for bit in range(64) if 2 * sum(x >> bit & 1 for x in hashes) > len(hashes))
+
+
+def components(points):
+    """Each point's least linked point, by comparing all pairs."""
+    points = sorted(set(points))
+    root = {x: x for x in points}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(points):
+        for b in points[i + 1 :]:
+            if (a ^ b).bit_count() <= 4:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {x: find(x) for x in points}
+
+
+def brute(rows):
+    points = [brute_fingerprint(row[1]) for row in rows]
+    root = components(points)
+    least = {}
+    for row, point in zip(rows, points):
+        if row[0] is not None:
+            least[root[point]] = min(row[0], least.get(root[point], row[0]))
+    return sorted(((row[0], f"{p:016x}", least.get(root[p])) for row, p in zip(rows, points)), key=str)
+
+
+def got(df):
+    return sorted((tuple(r) for r in simhash.near_components(df).collect()), key=str)
+
+
+def test_whole_corpus(docs, wide, rows):
+    assert got(docs) == got(wide) == brute(rows)
+
+
+def test_ties_nulls_and_empty(repeated, empty):
+    assert got(repeated) == brute([tuple(r) for r in repeated.collect()])
+    assert got(empty) == []
+
+
+@given(st.lists(st.text("aAbBÉé \t\n\x0b ", max_size=60), max_size=8))
+@settings(max_examples=100, deadline=None)
+def test_fingerprints(some):
+    for text in some:
+        assert simhash.fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+def clustered(seed, clusters, members, flips):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(clusters):
+        base = rng.getrandbits(64)
+        for _ in range(members):
+            point = base
+            for bit in rng.sample(range(64), rng.randrange(flips + 1)):
+                point ^= 1 << bit
+            out.append(point)
+    return out
+
+
+def linked(links, points):
+    root = {x: x for x in points}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return {x: find(x) for x in points}
+
+
+def test_shards_lose_no_link(spark, monkeypatch):
+    """Small shards and blocks: boundaries, shards of one third shared by many, and chains across them."""
+    rng = random.Random(3)
+    points = clustered(1, 60, 12, 4) + clustered(2, 300, 2, 4) + [rng.getrandbits(64) for _ in range(500)]
+    points += [(rng.getrandbits(22) << 42) | 12345 for _ in range(400)] + [0, 1, 2**64 - 1]
+    want = components(points)
+    frame = spark.createDataFrame([(x - (x >> 63 << 64),) for x in want], "point long").repartition(5)
+    for shard, block in ((1024, 1 << 16), (16, 1 << 16), (64, 50)):
+        monkeypatch.setattr(simhash, "SHARD", shard)
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        rows = simhash.links_of(frame, len(want)).collect()
+        found = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in rows]
+        assert all((a ^ b).bit_count() <= 8 for a, b in found)
+        assert linked(found, want) == want
+
+
+def test_search_in_a_shard():
+    for seed in range(6):
+        points = clustered(seed, 40, 30, 6) + clustered(seed + 50, 1, 700, 10)
+        want = components(points)
+        values = np.array(list(want), dtype=np.uint64)
+        np.random.default_rng(seed).shuffle(values)
+        joined = simhash.Joined()
+        simhash.search(values, values, joined)
+        assert linked(joined.links, want) == want
+        assert len(joined.links) == len(want) - len(set(want.values()))
+
+
+def test_equally_far_points_are_searched():
+    """A shard whose points all have the same distance to every vantage point can't be halved by it."""
+    points = np.array([1 << i for i in range(64)] * 1 + [3 << i for i in range(63)], dtype=np.uint64)
+    points = np.unique(np.concatenate([points ^ np.uint64(k << 40) for k in range(16)]))
+    joined = simhash.Joined()
+    simhash.search(points, points, joined)
+    want = components(points.tolist())
+    assert linked(joined.links, want) == want
+
+
+def test_balls_stay_open():
+    """A pair within four bits meets in a shard: the smaller-numbered one visits the other's home."""
+    rng = random.Random(5)
+    for _ in range(300):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), rng.randrange(1, 5)):
+            b ^= 1 << bit
+        pair = np.array([a, b], dtype=np.uint64)
+        meets = False
+        for part, values in enumerate(simhash.thirds_of(pair)):
+            if int(values[0] ^ values[1]).bit_count() <= 1:
+                homes = simhash.shards_of(values, part, 12)
+                around = {int(simhash.shards_of(values[:1] ^ np.uint64(1 << i), part, 12)[0]) for i in range(simhash.THIRDS[part])}
+                meets |= int(homes[1]) in around | {int(homes[0])}
+        assert meets
