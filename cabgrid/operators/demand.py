@@ -28,15 +28,21 @@ def assign_cells(trips: DataFrame, zone_cells: DataFrame, key: Column | None = N
     alone, which keeps retries and reruns equal. Trips of an unmapped zone, or
     of one without cells, keep a NULL cell.
 
-    Each zone's number of cells, two numbers a zone, picks the position; zone
-    and position then pick the cell. A busy zone is thereby split over its
-    cells, and no list of cells travels with a trip.
+    ``zone_cells`` has numbered rows of zone and cell (``zonefill.zone_positions``), or one
+    list of cells per zone; ``zonefill.positions_of`` makes the former of lists
+    of which a zone may have several. Each zone's number of cells, two
+    numbers a zone, picks the position; zone and position then pick the cell. A busy
+    zone is thereby split over its cells, and no list of cells travels with a trip.
     """
     if key is None:
         key = F.xxhash64(*trips.columns)
     zone = F.col("LocationID").cast("bigint").alias("PULocationID")
-    sizes = zone_cells.select(zone, F.size("h3_cells").alias("n_cells"))
-    cells = zone_cells.select(zone, F.posexplode("h3_cells").alias("position", "pickup_h3"))
+    if "position" in zone_cells.columns:
+        sizes = zone_cells.filter("position = 0").select(zone, "n_cells")
+        cells = zone_cells.select(zone, "position", F.col("h3_cell").alias("pickup_h3"))
+    else:
+        sizes = zone_cells.select(zone, F.size("h3_cells").alias("n_cells"))
+        cells = zone_cells.select(zone, F.posexplode("h3_cells").alias("position", "pickup_h3"))
     position = F.when(F.col("n_cells") > 0, F.pmod(key, F.col("n_cells"))).cast("int")
     placed = trips.join(sizes, "PULocationID", "left").withColumn("position", position)
     return placed.join(cells, ["PULocationID", "position"], "left").select(*trips.columns, "pickup_h3")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cabgrid.config import Settings
 from cabgrid.operators.demand import AVERAGES
-from cabgrid.operators.series import calendar_lags, densify, lag_name, row_lags
+from cabgrid.operators.series import calendar_lags, dense_lags, lag_name, row_lags
 
 WEATHER_NUMBERS = ("temp_2m", "rain", "snow", "wind", "is_raining", "is_snowing")
 
@@ -55,10 +55,7 @@ def lagged(demand: DataFrame, settings: Settings) -> DataFrame:
         named = earlier.select(*keys, *[F.col(f"demand_{s}s_ago").alias(lag_name(n)) for n, s in back.items()])
         return row_lags(demand, ()).join(named, keys)
     if settings.lag_kind == "dense":
-        filled = densify(demand, window_seconds(settings)).withColumn("pickup_zone_id", F.lit(0).cast("bigint"))
-        names = [*lag_names(settings), "target_pickup_count"]
-        dense = row_lags(filled, settings.row_lags).select("window_start", "pickup_h3", *names)
-        return demand.join(dense, ["window_start", "pickup_h3"])
+        return dense_lags(demand, settings.row_lags, window_seconds(settings))
     raise ValueError(f"no kind of lags is called {settings.lag_kind}")
 
 

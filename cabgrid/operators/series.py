@@ -163,3 +163,41 @@ def densify(
     return spine.join(totals, [CELL, "at"], "left").select(
         F.timestamp_seconds("at").alias(START), CELL, F.coalesce(value, F.lit(0)).alias(value)
     )
+
+
+def dense_lags(
+    demand: DataFrame,
+    lags: Sequence[int] = (1, 12, 288),
+    window_seconds: int = 300,
+    value: str = "pickup_count",
+) -> DataFrame:
+    """Lags and target as over the dense series, without making its empty windows.
+
+    A lag of ``n`` rows of the dense series is the cell's demand exactly ``n``
+    windows earlier: 0 where nothing was observed, NULL before the cell's first
+    window; the target is NULL after its last one. So it takes the observed rows,
+    copied to the days that look at them, and each cell's first and last window.
+    """
+    at, day = F.col("at"), F.lit(86400)
+    series = demand.filter(F.col(CELL).isNotNull()).withColumn("at", F.col(START).cast("timestamp").cast("bigint"))
+    span = series.groupBy(CELL).agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
+    reach = [0, -window_seconds, *(n * window_seconds for n in lags)]
+    readers = F.array_distinct(F.array(*[F.floor((at + F.lit(s)) / day) for s in reach]))
+    copied = series.withColumns({"day": F.floor(at / day), "reader": F.explode(readers)})
+    order = Window.partitionBy(CELL, "reader").orderBy("at")
+
+    def total(seconds: int) -> Column:
+        return F.coalesce(F.sum(value).over(order.rangeBetween(seconds, seconds)), F.lit(0))
+
+    found = copied.withColumns(
+        {"target_pickup_count": total(window_seconds), **{lag_name(n): total(-n * window_seconds) for n in lags}}
+    )
+    inside = {"target_pickup_count": F.when(at + F.lit(window_seconds) <= F.col("last_at"), F.col("target_pickup_count"))}
+    for n in lags:
+        inside[lag_name(n)] = F.when(at - F.lit(n * window_seconds) >= F.col("first_at"), F.col(lag_name(n)))
+    return (
+        found.filter("reader = day")
+        .join(span, CELL)
+        .withColumns(inside)
+        .select(*demand.columns, "target_pickup_count", *map(lag_name, lags))
+    )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabgrid.functions.hexgrid import HexGrid, double, pack
+from cabgrid.functions.hexgrid import HexGrid, cell_q, double, pack
 
 
 def ring_edges(rings: DataFrame) -> DataFrame:
@@ -96,24 +96,62 @@ def centroids(edges: DataFrame, grid: HexGrid) -> DataFrame:
     )
 
 
-def zone_cells(rings: DataFrame, grid: HexGrid) -> DataFrame:
-    """``(LocationID, h3_cells)``: cells whose centre lies in the zone, ascending.
+def zone_positions(rings: DataFrame, grid: HexGrid) -> DataFrame:
+    """A row per zone and cell: ``(LocationID, position, h3_cell, n_cells)``, numbered from 0 in the order of cell ids.
 
-    Parts of a zone are merged. A zone that holds no centre gets the cell of
-    its centroid.
+    Cells whose centre lies in the zone; parts of a zone are merged, and a zone
+    that holds no centre gets the cell of its centroid. A cell's number is what
+    its zone has in the grid columns before, plus its place in its own column, so
+    no row or group holds more than a column of cells or the columns of a zone.
     """
     edges = ring_edges(rings)
     inside = _inside_cells(_row_cuts(edges, grid), grid)
-    fallback = centroids(edges, grid).select("LocationID", grid.cell_of("lat", "lon").alias("fallback"))
-    filled = inside.withColumn("fallback", F.lit(None).cast("bigint")).unionByName(
-        fallback.withColumn("cell", F.lit(None).cast("bigint"))
+    spare = centroids(edges, grid).select("LocationID", grid.cell_of("lat", "lon").alias("cell"), F.lit(1).alias("spare"))
+    both = inside.withColumn("spare", F.lit(0)).unionByName(spare).filter("cell IS NOT NULL").distinct()
+    cells = both.withColumn("q", cell_q("cell"))
+    before = Window.partitionBy("LocationID").orderBy("q").rowsBetween(Window.unboundedPreceding, -1)
+    zone = Window.partitionBy("LocationID")
+    columns = (
+        cells.groupBy("LocationID", "q")
+        .agg(F.count_if(F.col("spare") == 0).alias("n"))
+        .select(
+            "LocationID",
+            "q",
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+            F.sum("n").over(zone).alias("total"),
+        )
     )
-    cells = F.array_sort(F.collect_set("cell"))
-    return filled.groupBy("LocationID").agg(
-        F.when(F.size(cells) > 0, cells).otherwise(F.array(F.max("fallback"))).alias("h3_cells")
+    place = F.row_number().over(Window.partitionBy("LocationID", "q").orderBy("spare", "cell"))
+    return (
+        cells.join(columns, ["LocationID", "q"])
+        .withColumn("place", place)
+        .filter("spare = 0 OR total = 0")
+        .select(
+            "LocationID",
+            (F.col("before") + F.col("place") - 1).cast("int").alias("position"),
+            F.col("cell").alias("h3_cell"),
+            F.greatest("total", F.lit(1)).cast("int").alias("n_cells"),
+        )
     )
 
 
+def cell_lists(positions: DataFrame) -> DataFrame:
+    """``(LocationID, h3_cells)`` with ascending cells, for those who want a zone's cells as one list."""
+    return positions.groupBy("LocationID").agg(F.array_sort(F.collect_list("h3_cell")).alias("h3_cells"))
+
+
+def positions_of(lists: DataFrame) -> DataFrame:
+    """Numbered rows as of ``zone_positions`` from lists of cells; several lists of one zone are one."""
+    merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list("h3_cells"))))
+    zones = lists.groupBy("LocationID").agg(merged.alias("h3_cells"))
+    return zones.select("LocationID", F.posexplode("h3_cells").alias("position", "h3_cell"), F.size("h3_cells").alias("n_cells"))
+
+
+def zone_cells(rings: DataFrame, grid: HexGrid) -> DataFrame:
+    """``(LocationID, h3_cells)``: cells whose centre lies in the zone, ascending."""
+    return cell_lists(zone_positions(rings, grid))
+
+
 def zone_cell_rows(cells: DataFrame) -> DataFrame:
     """One row per zone and cell."""
     return cells.select("LocationID", F.explode("h3_cells").alias("h3_cell"))

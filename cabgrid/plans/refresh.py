@@ -10,7 +10,7 @@ from cabgrid.config import Settings
 from cabgrid.ml import model as ml
 from cabgrid.operators import demand as dm
 from cabgrid.operators import features, quality, recommend, stations, typical, weather, zonefill
-from cabgrid.sinks import writers
+from cabgrid.sinks import versions, writers
 
 
 @dataclass(frozen=True)
@@ -22,8 +22,8 @@ class Inputs:
     zones: DataFrame
     weather_landed: DataFrame
     stations_raw: DataFrame
-    #: Places for which weather is expected; checked against what landed.
-    places: DataFrame
+    #: Places for which weather is expected, checked against what landed; all boroughs of ``zones`` if not given.
+    places: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -51,26 +51,42 @@ def refresh(
     typical_from_test_rows: bool = False,
     schema: str | None = None,
     fit_partitions: int | None = None,
+    keep_versions: int | None = None,
 ) -> dict[str, DataFrame]:
     """Build and write all tables; returns them by name.
 
     Typical demand averages the predictions of all rows, or only of the rows
     the model was not trained on. With ``schema`` every table is registered
-    under its name there. Beside the tables of the analysis there are the
+    under its name there. With ``keep_versions`` each table is written to a new
+    version's folder, and all names move to the new versions once every table
+    is complete; so many versions stay. Beside the tables of the analysis there are the
     metrics of the held-out rows, the importances of the model's inputs, and
     what the checks of the inputs found.
     """
+    if keep_versions is not None and schema is None:
+        raise ValueError("versions are published by name, so a schema is needed")
     grid = settings.grid
     tables: dict[str, DataFrame] = {}
+    folders: dict[str, str] = {}
+
+    def folder(name: str) -> str:
+        path = layout.path(name)
+        folders[name] = path if keep_versions is None else versions.new_version(path)
+        return folders[name]
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = _written(spark, df, layout.path(name))
+        tables[name] = _written(spark, df, folder(name))
         return tables[name]
 
-    keep("missing_weather_places", weather.missing_places(inputs.places, inputs.weather_landed))
+    places = inputs.places
+    if places is None:
+        places = inputs.zones.selectExpr("Borough AS borough").distinct()
+    keep("missing_weather_places", weather.missing_places(places, inputs.weather_landed))
     keep("repeated_weather_hours", weather.repeated_hours(inputs.weather_landed))
     hours = keep("weather", weather.hourly_weather(inputs.weather_landed))
-    cells = keep("h3_mappings_resolution_8", zonefill.zone_cells(inputs.zone_rings, grid))
+    positions = zonefill.zone_positions(inputs.zone_rings, grid)
+    positions = _written(spark, positions, folder("zone_cell_positions"))
+    cells = keep("h3_mappings_resolution_8", zonefill.cell_lists(positions))
     keep("h3_mappings_resolution_9", zonefill.zone_cells(inputs.zone_rings, grid.finer()))
     zones = keep("taxi_zones", inputs.zones)
     keep("trip_rejects", quality.trip_rejects(inputs.trips, cells, settings.unknown_zones))
@@ -79,10 +95,9 @@ def refresh(
     keep("station_rejects", stations.rejected_stations(inputs.stations_raw))
     chargers = keep("ny_chargers", stations.clean_stations(inputs.stations_raw, settings, station_key))
 
-    writers.write_demand(
-        dm.demand_from_trips(inputs.trips, cells, settings, trip_key), layout.path("demand_h3_res8_5min")
-    )
-    demand = spark.read.parquet(layout.path("demand_h3_res8_5min"))
+    path = folder("demand_h3_res8_5min")
+    writers.write_demand(dm.demand_from_trips(inputs.trips, positions, settings, trip_key), path)
+    demand = spark.read.parquet(path)
     tables["demand_h3_res8_5min"] = demand
 
     rows = keep("demand_features", features.demand_features(demand, zones, hours, settings))
@@ -101,14 +116,18 @@ def refresh(
 
     nearest = keep(
         "nearest_chargers",
-        stations.nearest_table(zonefill.zone_cell_rows(cells), chargers, settings.stations_per_cell),
+        stations.nearest_table(positions.select("LocationID", "h3_cell"), chargers, settings.stations_per_cell),
     )
     recs = recommend.recommendations(slots, stations.cell_scores(nearest, settings), settings)
-    writers.write_slots(recs, layout.path("recommendations"))
-    tables["recommendations"] = spark.read.parquet(layout.path("recommendations"))
+    path = folder("recommendations")
+    writers.write_slots(recs, path)
+    tables["recommendations"] = spark.read.parquet(path)
     if schema is not None:
         for name in tables:
-            writers.register(spark, f"{schema}.{name}", layout.path(name))
+            writers.register(spark, f"{schema}.{name}", folders[name])
+    if keep_versions is not None:
+        for name in folders:
+            versions.drop_old(spark, layout.path(name), keep_versions)
     return tables
 
 

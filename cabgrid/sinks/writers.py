@@ -40,23 +40,55 @@ def write_slots(df: DataFrame, path: str) -> None:
     overwrite_partitioned(df, path, SLOT_COLUMNS)
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+
+
+def _location(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").collect()}
+
+
+def same_layout(spark: SparkSession, name: str, path: str) -> bool:
+    """Whether the files at ``path`` have the columns of table ``name``, which lists its folders when it is read."""
+    if _described(spark, name).get("Partition Provider") == "Catalog":
+        return False
+    new = spark.read.parquet(path)
+    by = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+    files = [f for f in new.inputFiles()[:1]]
+    return spark.table(name).dtypes == new.dtypes and all(f"/{column}=" in f for column in by for f in files)
+
+
 def register(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Make the Parquet table at ``path`` known by name, replacing an older registration of this kind.
 
-    The data is external: an older registration is forgotten, its files stay. A
-    name that stands for anything else, such as a managed table or a view,
-    is refused, since replacing that would delete data.
+    The data is external: an older registration is forgotten, its files stay.
+    Where the columns are the same, one change of the table's location does it,
+    so there is no moment without the table; folders of partitions are found
+    there when the table is read. Other columns need a new table. A name that
+    stands for anything else, such as a managed table or a view, is refused,
+    since replacing that would delete data.
     """
-    quoted = ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+    quoted = _quoted(name)
     if spark.catalog.tableExists(name):
         kind = spark.catalog.getTable(name).tableType
         if kind != "EXTERNAL":
             raise ValueError(f"{name} is {kind}, not an external table; it is left as it is")
+        if same_layout(spark, name, path):
+            spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{_location(path)}'")
+            spark.catalog.refreshTable(name)
+            return spark.table(name)
         spark.sql(f"DROP TABLE {quoted}")
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {quoted} USING parquet LOCATION '{location}'")
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
-        spark.catalog.recoverPartitions(name)
+    listed = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(listed)
+    spark.conf.set(listed, "false")
+    try:
+        spark.sql(f"CREATE TABLE {quoted} USING parquet LOCATION '{_location(path)}'")
+    finally:
+        spark.conf.set(listed, before)
     return spark.table(name)
 
 

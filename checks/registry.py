@@ -20,7 +20,8 @@ from cabgrid.operators import features as ft
 from cabgrid.operators import quality, recommend, serving, stations, weather, zonefill
 from cabgrid.operators import series as sr
 from cabgrid.operators import typical as ty
-from cabgrid.sinks import writers
+from cabgrid.plans.incremental import DemandTables, Layout
+from cabgrid.sinks import versions, writers
 from cabgrid.sources import tables as src
 from cabgrid.streaming import live_demand as live
 from checks import fixtures as fx
@@ -64,6 +65,9 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 # --- shared inputs and intermediate tables -------------------------------------------------
 
 _STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+_UPDATED: dict[tuple[str, str], DemandTables] = {}
+#: Dates that trips come late for in ``kept_up_to_date``.
+LATE_DATES = ("2024-01-09", "2024-01-17", "2024-01-23")
 
 
 def stored(build: Query) -> Query:
@@ -94,9 +98,28 @@ def cell_rows(spark: SparkSession, sf: str) -> DataFrame:
     return zonefill.zone_cell_rows(zone_cells(spark, sf))
 
 
+@stored
+def zone_positions(spark: SparkSession, sf: str) -> DataFrame:
+    return zonefill.zone_positions(fx.zone_rings(spark, sf), S.grid)
+
+
 @stored
 def demand(spark: SparkSession, sf: str) -> DataFrame:
-    return dm.demand_from_trips(fx.trips(spark, sf), zone_cells(spark, sf), S, fx.trip_key())
+    return dm.demand_from_trips(fx.trips(spark, sf), zone_positions(spark, sf), S, fx.trip_key())
+
+
+def kept_up_to_date(spark: SparkSession, sf: str) -> DemandTables:
+    """Tables that first saw the trips without late ones of two dates and without a third date, and then all."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _UPDATED:
+        trips, cells = fx.trips(spark, sf), zone_positions(spark, sf)
+        day = F.to_date("tpep_pickup_datetime")
+        late = day.isin(*LATE_DATES[:2]) & (F.col("trip_id") % 3 == 0) | (day == F.lit(LATE_DATES[2]).cast("date"))
+        tables = DemandTables(spark, Layout(session.scratch_path(spark, "kept-up-to-date")), S)
+        tables.update(trips.filter(~late), cells, fx.trip_key())
+        tables.update(trips, cells, fx.trip_key())
+        _UPDATED[key] = tables
+    return _UPDATED[key]
 
 
 @stored
@@ -390,6 +413,27 @@ def k4(spark, sf):
     return writers.register(spark, "cabgrid_typical_demand_lookup", path)
 
 
+@register("k1_versioned_table", rounded("stations", STATIONS))
+def k1_versions(spark, sf):
+    """The newest complete version; one that a dead job left half written isn't seen."""
+    path = session.scratch_path(spark, "versioned-chargers")
+    rows = clean(spark, sf)
+    versions.write(rows.withColumn("charger_id", -F.col("charger_id")), path)
+    versions.write(rows, path)
+    rows.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(versions.new_version(path))
+    return versions.read(spark, path)
+
+
+@register("k4_published_table", rounded("recs", RECS))
+def k4_published(spark, sf):
+    """A partitioned table by name, moved from one version to the next."""
+    path = session.scratch_path(spark, "versioned-recommendations")
+    rows = recs(spark, sf)
+    first = versions.write(rows.withColumn("rank", -F.col("rank")), path, writers.SLOT_COLUMNS)
+    versions.publish(spark, "cabgrid_published_recommendations", first)
+    return versions.publish(spark, "cabgrid_published_recommendations", versions.write(rows, path, writers.SLOT_COLUMNS))
+
+
 EXPORTED = ("recommendations", "typical_demand_lookup", "ny_chargers", "nearest_chargers")
 
 
@@ -457,7 +501,7 @@ TRIPS = {
 @register("p3_dropped_columns", rounded("trip_cells", TRIPS | {"pickup_h3": "i"}))
 def p3(spark, sf):
     known = dm.known_zone_trips(fx.trips(spark, sf), S.unknown_zones)
-    return dm.assign_cells(known, zone_cells(spark, sf), fx.trip_key())
+    return dm.assign_cells(known, zone_positions(spark, sf), fx.trip_key())
 
 
 @register("p4_demand_layout", rounded("demand", DEMAND | {"window_start_date": "s"}))
@@ -779,6 +823,25 @@ def a1(spark, sf):
     return demand.live(spark, sf).drop("window_start_date")
 
 
+@register("a1_demand_kept_up_to_date", rounded("demand", DEMAND | {"window_start_date": "s"}))
+def a1_updated(spark, sf):
+    """Demand after late trips of some dates, of which only those dates were aggregated again."""
+    tables = kept_up_to_date(spark, sf)
+    return tables.read(tables.layout.demand)
+
+
+@register("a2_typical_kept_up_to_date", rounded("typical", TYPICAL | {"demand_p75": "d"}))
+def a2_updated(spark, sf):
+    """Typical demand merged from one state per date."""
+    return kept_up_to_date(spark, sf).typical_demand()
+
+
+@register("a2_merged_states", rounded("typical", TYPICAL | {"demand_p75": "d"}))
+def a2_merged(spark, sf):
+    """Typical demand from states of all dates."""
+    return ty.merged_typical(ty.typical_state(demand(spark, sf), "pickup_count"))
+
+
 @register("a2_typical_demand", rounded("typical", {k: v for k, v in TYPICAL.items() if k != "demand_p75"}))
 def a2(spark, sf):
     return typical.live(spark, sf).drop("demand_p75")
@@ -935,6 +998,44 @@ def w2(spark, sf):
     return sr.row_lags(demand(spark, sf), S.row_lags).select(*KEYS, "prev_demand", "lag_12", "lag_288")
 
 
+@register(
+    "w2_lags_kept_up_to_date",
+    rounded("lagged", KEYS | {"pickup_count": "i", "target_pickup_count": "i", "prev_demand": "i", "lag_12": "i", "lag_288": "i"}),
+)
+def w2_updated(spark, sf):
+    """Lags after late trips, of which only those that reach the late trips' dates were counted again."""
+    tables = kept_up_to_date(spark, sf)
+    lags = tables.read(tables.layout.lags)
+    return lags.select(*KEYS, "pickup_count", "target_pickup_count", "prev_demand", "lag_12", "lag_288")
+
+
+def _dense_sql(n: int, name: str) -> str:
+    there = f"d.window_start - to_seconds({300 * n})"
+    return (
+        f"CASE WHEN {there} BETWEEN s.first_start AND s.last_start THEN coalesce((SELECT w.n FROM cell_windows w"
+        f" WHERE w.pickup_h3 = d.pickup_h3 AND w.window_start = {there}), 0) END::BIGINT AS {name}"
+    )
+
+
+@register(
+    "w2_dense_lags",
+    query(
+        f"""SELECT d.window_start, d.pickup_zone_id, d.pickup_h3,
+      {_dense_sql(-1, "target_pickup_count")}, {_dense_sql(1, "prev_demand")}, {_dense_sql(12, "lag_12")}, {_dense_sql(288, "lag_288")}
+    FROM demand d JOIN (
+      SELECT pickup_h3, min(window_start) AS first_start, max(window_start) AS last_start FROM cell_windows GROUP BY pickup_h3) s
+      USING (pickup_h3)""",
+        "demand",
+        "cell_windows",
+    ),
+)
+def w2_dense_lags(spark, sf):
+    """Lags over the dense series, counted on the observed rows alone."""
+    return sr.dense_lags(demand(spark, sf), S.row_lags).select(
+        *KEYS, "target_pickup_count", "prev_demand", "lag_12", "lag_288"
+    )
+
+
 @register(
     "w2_calendar_lags",
     query(
@@ -1265,7 +1366,7 @@ def x2(spark, sf):
 
 @register("x3_zone_cells", rounded("zone_cells", {"LocationID": "i", "cell": "i"}))
 def x3(spark, sf):
-    return zonefill.zone_cell_rows(zone_cells.live(spark, sf)).withColumnRenamed("h3_cell", "cell")
+    return zone_positions.live(spark, sf).select("LocationID", F.col("h3_cell").alias("cell"))
 
 
 @register("x3_zone_cells_fine", rounded("zone_cells_fine", {"LocationID": "i", "cell": "i"}))
@@ -1277,20 +1378,16 @@ def x3_fine(spark, sf):
 @register(
     "x3_polygon_fill",
     query(
-        """SELECT LocationID::BIGINT AS "LocationID", count(*) AS cells, min(cell) AS lowest, max(cell) AS highest
-    FROM shape_cells GROUP BY ALL""",
+        """SELECT LocationID::BIGINT AS "LocationID", cell AS h3_cell,
+      row_number() OVER (PARTITION BY LocationID ORDER BY cell) - 1 AS position,
+      count(*) OVER (PARTITION BY LocationID) AS n_cells
+    FROM shape_cells""",
         "shape_cells",
     ),
 )
 def x3_shapes(spark, sf):
-    """Concave, two-part, holed and tiny outlines."""
-    cells = zonefill.zone_cells(fx.supplier_rings(spark, sf), S.grid)
-    return cells.select(
-        "LocationID",
-        F.size("h3_cells").alias("cells"),
-        F.array_min("h3_cells").alias("lowest"),
-        F.array_max("h3_cells").alias("highest"),
-    )
+    """Every numbered cell of concave, two-part, holed and tiny outlines."""
+    return zonefill.zone_positions(fx.supplier_rings(spark, sf), S.grid)
 
 
 _HOME = with_cell(f"SELECT {d(GRID.lat0)} AS lat, {d(GRID.lon0)} AS lon", out="home")

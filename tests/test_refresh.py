@@ -144,3 +144,29 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = session.shared_dir(spark)
     assert folder == (configured or spark.sparkContext.getCheckpointDir()).rstrip("/")
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_versions_are_published_together(spark, tmp_path_factory):
+    """With versions, names move once all tables are complete, and the first README example's inputs are enough."""
+    session.prepare(spark)
+    settings = replace(fx.SETTINGS, row_lags=(1,), model=replace(fx.SETTINGS.model, trees=1, depth=2))
+    spark.sql("CREATE DATABASE IF NOT EXISTS versioned_lake")
+    sources = (fx.trips, fx.zone_rings, fx.zones, fx.region_weather, fx.stations_csv)
+    inputs = plan.Inputs(*[read(spark, SF_SMALL) for read in sources])
+    base = plan.Layout(str(tmp_path_factory.mktemp("versions")))
+    keys = (fx.trip_key(), fx.station_key())
+    with pytest.raises(ValueError):
+        plan.refresh(spark, inputs, base, settings, *keys, keep_versions=2)
+    first = plan.refresh(spark, inputs, base, settings, *keys, schema="versioned_lake", fit_partitions=2, keep_versions=2)
+    opened = spark.table("versioned_lake.recommendations")
+    count = opened.count()
+    fewer = replace(inputs, trips=inputs.trips.filter("trip_id % 2 = 0"))
+    with pytest.raises(Exception, match="lost"):
+        lost = replace(fewer, stations_raw=inputs.stations_raw.limit(0).selectExpr("raise_error('lost') AS x"))
+        plan.refresh(spark, lost, base, settings, *keys, schema="versioned_lake", fit_partitions=2, keep_versions=2)
+    for name, df in first.items():
+        assert spark.table(f"versioned_lake.{name}").count() == df.count(), name
+    plan.refresh(spark, fewer, base, settings, *keys, schema="versioned_lake", fit_partitions=2, keep_versions=2)
+    assert opened.count() == count
+    assert spark.table("versioned_lake.demand_h3_res8_5min").count() < first["demand_h3_res8_5min"].count()
+    spark.sql("DROP DATABASE versioned_lake CASCADE")
