@@ -24,7 +24,6 @@ LIBRARY = {}
 def whole(name, text):
     if name not in LIBRARY:
         LIBRARY[name] = Tokenizer.from_file(public_tokenizers.path(name))
-        LIBRARY[name].encode_special_tokens = True
     return LIBRARY[name].encode(text, add_special_tokens=False).ids
 
 
@@ -46,6 +45,26 @@ def test_any_text_gives_the_ids_of_the_whole_text(name, text):
     assert ids(encoder(name), text) == whole(name, text)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@given(
+    parts=st.lists(
+        st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "endoftext|>", " ", "  ", "\n", "a", "Ab, c.", "é"]),
+        max_size=8,
+    )
+)
+@settings(max_examples=300, deadline=None)
+def test_added_tokens_are_the_librarys(name, parts):
+    """At the start, in the middle, at the end, twice, and next to blanks."""
+    text = "".join(parts)
+    assert ids(encoder(name), text) == whole(name, text)
+
+
+def test_added_tokens_have_their_own_ids():
+    end = "<|endoftext|>"
+    assert ids(encoder("byte_bpe_50k.json"), f"a {end}{end} b") == [64, 220, 50256, 50256, 275]
+    assert 49407 in ids(encoder("word_bpe_49k.json"), f"a {end}")
+
+
 def check_plan(histogram, capacity):
     found = packing.plan(histogram, capacity)
     used = Counter()
