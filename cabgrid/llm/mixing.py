@@ -7,6 +7,13 @@ its fitted over its observed tokens. A document is kept with a probability
 proportional to its cell's factor, drawn from a hash of its id, so the kept
 tokens meet all three marginals in expectation and a rerun keeps the same rows.
 
+The largest factor would set the scale for all, so one rare document with a
+large one could cost the whole corpus. Hence at least ``least_kept`` of the
+tokens are kept: where the scale that keeps the largest factor at probability
+1 keeps less, it is raised until the rest is filled up, and cells that would
+exceed 1 are kept whole. Those fall short of their target, as nothing is
+repeated; ``reached`` gives the share of every value beside its target.
+
 Targets are tempered shares: a margin with observed share ``p`` aims at
 ``p ** temper``, normalised. 1 leaves a margin as it is, 0 makes it even.
 
@@ -42,10 +49,16 @@ class Targets:
     topic: float = 1.0
     rounds: int = 12
     seed: str = "mix"
+    #: Share of all tokens that is kept in any case; 0 meets the margins whatever that costs.
+    least_kept: float = 0.0
     #: Rounds between two checkpoints of the cell table.
     cut_every: int = 4
 
 
+#: What the query and the pipeline mix with.
+PRODUCTION = Targets(least_kept=0.5)
+
+
 def n_tokens(text: Column) -> Column:
     """Words between blanks, tabs and line ends."""
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
@@ -105,14 +118,52 @@ def fitted_cells(rows: DataFrame, targets: Targets) -> DataFrame:
         if turn % targets.cut_every == targets.cut_every - 1:
             cells = cells.checkpoint()
     factor = F.when(F.col("seen") > 0, F.col("fit") / F.col("seen"))
-    scaled = factor / F.max(factor).over(Window.partitionBy())
-    return cells.select(*(f"__{m}" for m in MARGINS), F.coalesce(scaled, F.lit(1.0)).alias("__probability"))
+    cells = stored(cells.withColumn("factor", factor), "mix-factors")
+    chance = F.least(F.col("factor") * F.lit(scale_of(cells, targets.least_kept)), F.lit(1.0))
+    keys = [f"__{m}" for m in MARGINS]
+    return cells.select(*keys, F.coalesce(chance, F.lit(1.0)).alias("__probability"), "seen", *(f"aim_{m}" for m in MARGINS))
+
 
+def scale_of(cells: DataFrame, least_kept: float) -> float:
+    """What factors are multiplied with to become probabilities; those beyond 1 are then 1.
 
-def mixing_rows(docs: DataFrame, targets: Targets = Targets(), topic: Column | None = None) -> DataFrame:
+    ``seen * factor`` is ``fit``, so with the cells beyond 1 kept whole the others
+    have to fill the rest of the budget. That may push more cells beyond 1; the set only grows, and
+    each round takes one aggregate of the cell table.
+    """
+    top, seen = cells.agg(F.max("factor"), F.sum("seen")).first()
+    if not top:
+        return 1.0
+    scale, whole = 1.0 / top, -1
+    while True:
+        beyond = F.col("factor") * F.lit(scale) >= 1.0
+        now, held, fit = cells.agg(
+            F.count_if(beyond), F.sum(F.when(beyond, F.col("seen"))), F.sum(F.when(~beyond, F.col("fit")))
+        ).first()
+        if now == whole or not fit:
+            return scale
+        scale, whole = max(scale, (least_kept * seen - (held or 0.0)) / fit), now
+
+
+def reached(docs: DataFrame, targets: Targets = PRODUCTION, topic: Column | None = None) -> DataFrame:
+    """Per margin and value: the share of tokens seen, aimed at, and kept in expectation."""
+    cells = stored(fitted_cells(measured(docs, topic), targets), "mix-fit")
+    total = cells.agg(F.sum("seen"), F.sum(F.col("seen") * F.col("__probability"))).first()
+    shares = [
+        cells.groupBy(F.lit(m).alias("margin"), F.col(f"__{m}").alias("value")).agg(
+            (F.sum("seen") / F.lit(total[0])).alias("seen"),
+            F.max(f"aim_{m}").alias("target"),
+            (F.sum(F.col("seen") * F.col("__probability")) / F.lit(total[1])).alias("kept"),
+        )
+        for m in MARGINS
+    ]
+    return shares[0].unionByName(shares[1]).unionByName(shares[2])
+
+
+def mixing_rows(docs: DataFrame, targets: Targets = PRODUCTION, topic: Column | None = None) -> DataFrame:
     """One row per document: its margins, tokens, probability, and whether it is kept."""
     rows = stored(measured(docs, topic, "doc_id"), "mix-rows")
-    cells = stored(fitted_cells(rows, targets), "mix-fit")
+    cells = stored(fitted_cells(rows, targets).select(*(f"__{m}" for m in MARGINS), "__probability"), "mix-fit")
     return rows.join(cells, [f"__{m}" for m in MARGINS]).select(
         "doc_id",
         *(F.col(f"__{m}").alias(m) for m in MARGINS),
@@ -122,15 +173,17 @@ def mixing_rows(docs: DataFrame, targets: Targets = Targets(), topic: Column | N
     )
 
 
-def mix(docs: DataFrame, targets: Targets = Targets(), topic: Column | None = None) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
-    cells = stored(fitted_cells(measured(docs, topic), targets), "mix-fit")
-    rows = measured(docs, topic, *docs.columns).drop("__tokens")
-    kept = rows.join(cells, [f"__{m}" for m in MARGINS]).filter(draw(F.col("doc_id"), targets.seed) < F.col("__probability"))
-    return kept.select(*docs.columns)
+def mix(docs: DataFrame, targets: Targets = PRODUCTION, topic: Column | None = None) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns; those travel in one struct, whatever they are called."""
+    keys = [f"__{m}" for m in MARGINS]
+    cells = stored(fitted_cells(measured(docs, topic), targets).select(*keys, "__probability"), "mix-fit")
+    own = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("own")
+    rows = measured(docs.select("*", own) if "own" not in docs.columns else docs.withColumn("own", own), topic, "own")
+    kept = rows.join(cells, keys).filter(draw(F.col("own.doc_id"), targets.seed) < F.col("__probability"))
+    return kept.select("own.*")
 
 
-def mixing_sql(targets: Targets = Targets()) -> str:
+def mixing_sql(targets: Targets = PRODUCTION) -> str:
     """The rows of ``mixing_rows`` over ``documents``, as DuckDB SQL."""
     cells = ", ".join(MARGINS)
     steps = [
@@ -157,8 +210,18 @@ def mixing_sql(targets: Targets = Targets()) -> str:
                 f"fit_{at + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN {total} > 0 THEN fit * aim_{m} / {total} ELSE 0.0 END AS fit) FROM fit_{at})"
             )
             at += 1
-    steps.append(f"factor AS (SELECT {cells}, CASE WHEN seen > 0 THEN fit / seen END AS factor FROM fit_{at})")
-    steps.append(f"chance AS (SELECT {cells}, coalesce(factor / max(factor) OVER (), 1.0) AS probability FROM factor)")
+    steps.append(f"factor AS (SELECT {cells}, seen, CASE WHEN seen > 0 THEN fit / seen END AS factor FROM fit_{at})")
+    # Cells by falling factor; with the first ones kept whole, the others fill up the budget.
+    steps.append(
+        f"""filled AS (SELECT *, ({targets.least_kept} * total - coalesce(sum(seen) OVER before, 0))
+  / nullif(sum(seen * factor) OVER (ORDER BY factor DESC, {cells} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS scale
+  FROM factor, (SELECT sum(seen) AS total FROM factor) WHERE factor IS NOT NULL
+  WINDOW before AS (ORDER BY factor DESC, {cells} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+    )
+    steps.append(
+        "scaled AS (SELECT coalesce(greatest(1 / max(factor), max(scale) FILTER (scale * factor <= 1)), 1 / max(factor), 1) AS scale FROM filled)"
+    )
+    steps.append(f"chance AS (SELECT {cells}, coalesce(least(factor * scale, 1.0), 1.0) AS probability FROM factor, scaled)")
     draw_sql = f"('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '/{targets.seed}'), 1, 13))::BIGINT / {float(1 << 52)!r}"
     return (
         f"WITH {', '.join(steps)} SELECT doc_id, {cells}, n_tokens, round(probability, 6) AS probability, "

@@ -9,6 +9,7 @@ import corpus_pipeline
 from cabgrid.llm import mixing
 from checks.compare import difference, duck
 from tests.conftest import SF_SMALL
+from tests.llm.conftest import SCHEMA
 from tests.llm.test_dedup import near_classes
 
 
@@ -28,7 +29,7 @@ def test_registered_queries(spark, name):
 
 def test_all_operators_are_registered():
     numbers = Counter(n.split("_")[0] for n in entry.queries() if n.startswith("op") and n[2].isdigit())
-    assert numbers == Counter(f"op{n}" for n in range(1, 11))
+    assert numbers == Counter(f"op{n}" for n in range(1, 14))
 
 
 def test_mixing_meets_its_targets(spark, wide):
@@ -60,6 +61,51 @@ def test_mixing_rows_equal_sql(wide, empty, repeated):
     assert mixing.mixing_rows(empty).count() == 0 and mixing.mix(empty).count() == 0
 
 
+def scaled(cells, least):
+    """The smallest scale that keeps ``least`` of the tokens, by halving, and never one below that of the largest factor."""
+    low, high = 1 / max(f for _, f in cells), 1e9
+    need = least * sum(n for n, _ in cells)
+    for _ in range(200):
+        middle = (low + high) / 2
+        if sum(n * min(1, middle * f) for n, f in cells) < need:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
+@pytest.mark.parametrize("least", [0.05, 0.5, 0.9, 1.0])
+def test_scale_keeps_the_budget(spark, least):
+    cells = [(100.0, 0.4), (1.0, 90.0), (50.0, 1.0), (3.0, 20.0), (700.0, 0.01), (20.0, 5.0)]
+    frame = spark.createDataFrame([(n, f, n * f) for n, f in cells], "seen double, factor double, fit double")
+    got, want = mixing.scale_of(frame, least), scaled(cells, least)
+    for n, f in cells:
+        assert min(1, got * f) == pytest.approx(min(1, want * f), rel=1e-6)
+
+
+def test_one_rare_source_costs_nothing(spark):
+    """Equal documents keep their number, and the rest of the margins their targets, whatever one document is called."""
+    same = [(i, "one two three four", "en", "s", 18) for i in range(20_000)]
+    plain = mixing.mix(spark.createDataFrame(same, SCHEMA)).count()
+    rare = spark.createDataFrame([*same[1:], (0, "one two three four", "en", "rare", 18)], SCHEMA)
+    kept = mixing.mix(rare)
+    assert kept.count() > 0.45 * 20_000 and plain == 20_000
+    assert kept.filter("source = 'rare'").count() == 1
+    told = {(r["margin"], r["value"]): r for r in mixing.reached(rare).collect()}
+    assert told["source", "rare"]["target"] > told["source", "rare"]["kept"] > told["source", "rare"]["seen"]
+    assert told["lang", "en"]["kept"] == pytest.approx(told["lang", "en"]["target"])
+
+
+def test_no_column_is_lost(spark):
+    names = ["own", "__source", "__lang", "__topic", "__tokens", "__probability", "seen", "topic", "value.with dot"]
+    docs = spark.createDataFrame([(i, f"w{i} x y", "en", f"s{i % 2}", 5, *[f"{n}{i}" for n in names]) for i in range(40)], SCHEMA + "".join(f", `{n}` string" for n in names))
+    kept = mixing.mix(docs)
+    assert kept.columns == docs.columns
+    whole = {tuple(r) for r in docs.collect()}
+    rows = [tuple(r) for r in kept.collect()]
+    assert rows and set(rows) <= whole
+
+
 def test_pipeline_equals_brute_force(spark, small):
     """Letters, exact and near copies by comparison of all pairs; the draw by SQL; then every piece is packed once."""
     rows = [r for r in small if any(c.isalpha() for c in r[1] or "")]
