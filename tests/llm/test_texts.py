@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -303,3 +304,112 @@ def test_no_list_grows_with_a_host_of_one_class_per_page(spark):
     found = html_text.page_paths(keyed).collect()
     assert len(found) == 300 and all(len(r.paths) == 1 for r in found)
     assert {r.page_id: r.text for r in html_text.main_texts(pages).collect()} == {i: f"text {i}" for i in range(300)}
+
+
+def main_text(page):
+    return html_text.extracted(page, [])
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # Class words alone don't take a paragraph or a word of the article.
+        ('<article><p class="share-price">a</p><p class="comment">b</p><p>the <span class="menu">menu</span> now</p></article>', "a\nb\nthe menu now"),
+        ('<article><p>t</p><div class="share-price-table">prices</div><div class="share-buttons">share</div></article>', "t\nprices"),
+        ('<article><p>text</p><div class="social-history"><a href=x>one</a> <a href=y>two</a></div></article>', "text"),
+        ("<article><p>text</p><article class=comment><p>said</p></article></article>", "text"),
+        # Text of main beside its article.
+        ("<main><h1>Heading</h1><article><p>text</p></article></main>", "Heading\ntext"),
+        ("<main><div class=hero><h1>Heading</h1></div><article><p>text text</p></article></main>", "Heading\ntext text"),
+        ("<main><article><h1>Heading</h1><p>text text text</p></article><div class=latest>other</div></main>", "Heading\ntext text text"),
+        # Quotes count only as values.
+        ("<p data-x=don't>one</p><p>it's two</p>", "one\nit's two"),
+        ('<p title="a > b">one</p><p title=\'a > "b\'>two', "one\ntwo"),
+        # What is left out ends with its own element, or with the one around it.
+        ('<p>x <span class="ad"><span>buy</span> now</span> y</p>', "x y"),
+        ("<article><p><span class=ad>buy<p>next</article>", "next"),
+        ("<table><tr><td>a<td>b<tr><td class=ad>c<td>d</table>", "a\nb\nd"),
+        ("<html><head><title>x</title><body><p>hello</p>", "hello"),
+        ("<article><ul><li>a<ul><li>b<li>c</ul><li>d</ul></p></article>", "a\nb\nc\nd"),
+        ("<article><svg/><p>one</p></article>", "one"),
+        # Links only, an anchor that is no link, an unfinished tag.
+        ("<article><p><a href=x>only a link</a></p></article>", "only a link"),
+        ("<article><a name=top><p>one</p></article>", "one"),
+        ("<article><p>one</p><a href='", "one"),
+    ],
+)
+def test_markup(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("part", ["<div>", "<div>t", "<div class=ad><p>t", "<div>t</p></li>", "<li><h1>", '<a x="', "<!x", "<a b=' ", "<span class=ad>x"])
+def test_work_is_linear_in_depth(part):
+    def seconds(times):
+        page = f"<body>{part * times}<p>deep"
+        began = time.process_time()
+        main_text(page)
+        return time.process_time() - began
+
+    # Sixteen times the page; quadratic work would take 256 times as long.
+    short = min(seconds(5_000) for _ in range(3))
+    assert seconds(80_000) < 64 * max(short, 0.02)
+
+
+def test_long_paths_stay_apart():
+    deep = "<div class=one>" * 200
+    page = f"<body>{deep}<div class=a><p>{'text ' * 50}</p></div><div class=b>box</div>"
+    blocks = html_text.blocks_of(page)
+    assert len({b.path.name for b in blocks}) == 2 and all(len(b.path.name) <= html_text.LONGEST for b in blocks)
+    assert html_text.extracted(page, [blocks[1].path.name]) == "box"
+
+
+def test_an_article_goes_before_a_small_box_of_another_template(spark):
+    """A host of many short cards; a page of its own article holds such a card as well."""
+    card = "<body><div class=card><p>card {}</p></div></body>"
+    rows = [(i, "http://a.example/", card.format(i)) for i in range(9)]
+    article = "<article><h1>Head</h1><p>" + "text " * 50 + "</p></article>"
+    rows.append((9, "http://a.example/", f"<body><div class=card><p>card</p></div>{article}</body>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_texts(pages).collect()}
+    assert got[9] == "Head\n" + ("text " * 50).strip() and got[3] == "card 3"
+
+
+def test_a_plain_page_gives_no_path_to_its_host(spark):
+    """Pages without containers vote for the page itself, which holds all of every other page."""
+    rows = [(i, "http://a.example/", f"<p>plain {i}") for i in range(5)]
+    rows += [(i, "http://a.example/", f"<body><div class=story><p>story {i} {'x ' * 40}</div><div class=box>box</div>") for i in range(5, 10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_texts(pages).collect()}
+    assert all(got[i] == f"plain {i}" for i in range(5)) and not any("box" in got[i] for i in range(5, 10))
+
+
+def test_generated_pages_keep_their_text(spark):
+    """Pages made from known blocks, with noise around and between them, give exactly those blocks."""
+    rng = random.Random(5)
+
+    def sentence():
+        return " ".join(rng.choice(["share", "menu", "alpha", "x &lt; y", "caf&eacute;", "it's", "b&nbsp;c", "ad"]) for _ in range(rng.randrange(2, 20)))
+
+    def plain(text):
+        return text.replace("&lt;", "<").replace("&eacute;", "é").replace("&nbsp;", " ")
+
+    noise = [
+        '<div class="ad">buy <span>now</span></div>', "<script>if (a < b) {'</p>'}</script>", "<!-- <p>no</p> -->", "<nav><a href=/>home</a></nav>",
+        "<aside><p>other</p></aside>", '<form><label>name</label><input value=">"></form>', "<style>p > b {}</style>", '<div id="comments"><p>said</p></div>',
+        '<section class="newsletter-signup">mail</section>', "<footer>foot</footer>", '<div class="related-posts"><ul><li><a href=x>y</a></ul></div>',
+    ]
+    shapes = ["<p>{}</p>", "<p class=comment>{}", "<h2 id=menu>{}</h2>", "<ul><li>{}</ul>", "<blockquote><p>{}</blockquote>", "<div class=text-{n}>{}</div>", "<table><tr><td>{}</table>", "<pre>{}</pre>"]
+    rows, expected = [], {}
+    for page in range(80):
+        texts = [sentence() for _ in range(rng.randrange(1, 12))]
+        body = "<h1>" + texts[0] + "</h1>"
+        for n, text in enumerate(texts[1:]):
+            shape = rng.choice(shapes)
+            words = text.split(" ")
+            inner = f"<b>{words[0]}</b> <a href=#>{words[1] if len(words) > 1 else ''}</a> {' '.join(words[2:])}" if rng.random() < 0.3 and "&lt;" not in text else text
+            body += "".join(rng.sample(noise, rng.randrange(3))) + shape.replace("{n}", str(n)).format(inner)
+        article = rng.choice(["<article>{}</article>", "<main id=content>{}</main>", "<main><article class='post'>{}</article></main>"])
+        rows.append((page, f"https://h{page % 7}.example/{page}", f"<html><body class=has-sidebar>{rng.choice(noise)}{article.format(body)}{rng.choice(noise)}</body></html>"))
+        expected[page] = "\n".join(" ".join(plain(t).split()) for t in texts)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.main_texts(pages).collect()} == expected
