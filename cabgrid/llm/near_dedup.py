@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from cabgrid import session
 from cabgrid.llm.common import batch_of, partitions, parts, rows_of, stored, texts
-from cabgrid.llm.exact_dedup import row_key
+from cabgrid.llm.exact_dedup import first_rows, row_key
 from cabgrid.llm.words import Rolling, as_long, mixed, split, words_of
 
 SHINGLE = 5
@@ -381,8 +381,5 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, one of each class, with all their columns."""
-    kept = near_classes(docs).filter("kept").select(row_key("doc_id", F.col("text_md5")).alias("__row"))
-    rows = docs.withColumn("__row", row_key("doc_id", F.md5(F.coalesce(F.col("text"), F.lit("")))))
-    repeat = Window.partitionBy("__row").orderBy(F.xxhash64(*docs.columns))
-    numbered = rows.join(kept, "__row", "left_semi").withColumn("__repeat", F.row_number().over(repeat))
-    return numbered.filter("__repeat = 1").select(*docs.columns)
+    kept = near_classes(docs).filter("kept").select(row_key("doc_id", F.col("text_md5")).alias("key"))
+    return first_rows(docs, kept, F.md5(F.coalesce(F.col("text"), F.lit(""))))

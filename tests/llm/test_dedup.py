@@ -216,3 +216,37 @@ def test_substrings_empty_and_repeated(empty, repeated):
     assert substring_dedup.cleaned(empty).count() == 0
     got = substring_dedup.cleaned(repeated).collect()
     assert len(got) == repeated.count() and all(r.n_removed == 0 for r in got)
+
+
+@pytest.mark.parametrize("drop", [exact_dedup.drop_exact_copies, near_dedup.drop_near_copies])
+def test_columns_of_the_user_come_back_as_they_are(docs, drop):
+    names = ["__row", "__repeat", "row", "key", "repeat", "run", "begins", "cell", "beginning", "mix", "members", "a.b", "text_md5"]
+    plain = {(r.doc_id, r.text) for r in drop(docs).collect()}
+    got = drop(docs.selectExpr("*", *[f"concat('{i}/', doc_id) AS `{name}`" for i, name in enumerate(names)]))
+    assert got.columns == [*docs.columns, *names]
+    rows = got.collect()
+    assert {(r["doc_id"], r["text"]) for r in rows} == plain and len(rows) == len(plain)
+    assert all(r[name] == f"{i}/{r['doc_id']}" for r in rows for i, name in enumerate(names))
+
+
+def test_runs_are_found_by_sorting_one_exchange(repeated):
+    """Ranges are sorted and neighbours compared without a second shuffle of texts."""
+    plan = exact_dedup.cells(repeated)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange rangepartitioning" in plan
+    assert "lag(text" in plan and "Sort [beginning" in plan
+
+
+def test_texts_of_one_beginning_and_many_copies(spark):
+    """Texts that differ after the sampled beginning, with copies in every cell and null ids among them."""
+    same = "x" * 200
+    rows = [(i if i % 7 else None, same + str(i % 5)) for i in range(400)]
+    got = exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = Counter()
+    groups = {}
+    for i, text in rows:
+        groups.setdefault(text, []).append(i)
+    for text, ids in groups.items():
+        keep = max(i for i in ids if i is not None)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        expected.update((i, keep, len(ids), i == keep, digest) for i in ids)
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got) == expected
