@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -317,7 +316,7 @@ def s3(spark, sf):
     )
 
 
-STATION_TEXT = """SELECT station_key::VARCHAR AS station_key, station_name, fast_text, level2_text
+STATION_TEXT = """SELECT station_key::VARCHAR AS station_key, station_name, lat_text, lon_text, fast_text, level2_text
     FROM stations_csv"""
 
 
@@ -331,6 +330,8 @@ def s4(spark, sf):
     return src.read_csv_text(spark, path, keyed).select(
         "station_key",
         F.col("Station Name").alias("station_name"),
+        F.col("Latitude").alias("lat_text"),
+        F.col("Longitude").alias("lon_text"),
         F.col("EV DC Fast Count").alias("fast_text"),
         F.col("EV Level2 EVSE Num").alias("level2_text"),
     )
@@ -346,22 +347,15 @@ def s5(spark, sf):
     "s6_zone_rings",
     query(
         f"""SELECT LocationID::BIGINT AS "LocationID", part::BIGINT AS part, ring_no::BIGINT AS ring_no,
-      count(*) AS edges, {r6("min(x1)")} AS west, {r6("max(x1)")} AS east, {r6("min(y1)")} AS south,
-      {r6("max(y1)")} AS north
-    FROM shape_edges GROUP BY ALL""",
+      {r6("x1")} AS x1, {r6("y1")} AS y1, {r6("x2")} AS x2, {r6("y2")} AS y2
+    FROM shape_edges""",
         "shape_edges",
     ),
 )
 def s6(spark, sf):
+    """Every edge of every ring as read back."""
     path = written(spark, fx.supplier_rings(spark, sf), "rings")
-    edges = zonefill.ring_edges(src.read_zone_rings(spark, path))
-    return edges.groupBy("LocationID", "part", "ring_no").agg(
-        F.count("*").alias("edges"),
-        F.min("x1").alias("west"),
-        F.max("x1").alias("east"),
-        F.min("y1").alias("south"),
-        F.max("y1").alias("north"),
-    )
+    return zonefill.ring_edges(src.read_zone_rings(spark, path))
 
 
 @register("s7_slot_table", rounded("typical", TYPICAL))
@@ -793,12 +787,17 @@ def j8(spark, sf):
 FIRST_ZONE = """(SELECT * FROM nearest QUALIFY row_number() OVER (PARTITION BY h3_cell ORDER BY LocationID) = 1)"""
 
 
+def _wide_sql(p: int) -> str:
+    forms = {"station_name": "{}", "lat": r6("{}"), "lon": r6("{}")}
+    names = [(stations.wide_name(p, detail), forms.get(detail, "{}::BIGINT")) for detail in stations.DETAILS]
+    return ", ".join(f'{form.format(name)} AS "{name}"' for name, form in names)
+
+
 @register(
     "j9_driver_chargers",
     query(
         f"""SELECT driver_id, driver_h3 AS h3_cell, n.LocationID::BIGINT AS "LocationID",
-      P1_charger_station_name AS "P1_charger_station_name", P2_charger_station_name AS "P2_charger_station_name",
-      P3_charger_station_name AS "P3_charger_station_name",
+      {_wide_sql(1)}, {_wide_sql(2)}, {_wide_sql(3)},
       CASE WHEN n.h3_cell IS NULL THEN 'no_match' ELSE 'ok' END AS status
     FROM drivers LEFT JOIN {FIRST_ZONE} AS n ON n.h3_cell = driver_h3""",
         "drivers",
@@ -806,13 +805,7 @@ FIRST_ZONE = """(SELECT * FROM nearest QUALIFY row_number() OVER (PARTITION BY h
     ),
 )
 def j9(spark, sf):
-    return serving.nearest_chargers(fx.driver_points(spark, sf), nearest(spark, sf), S).select(
-        "driver_id",
-        "h3_cell",
-        "LocationID",
-        *[stations.wide_name(p, "station_name") for p in (1, 2, 3)],
-        "status",
-    )
+    return serving.nearest_chargers(fx.driver_points(spark, sf), nearest(spark, sf), S).drop("lat", "lon", "ts")
 
 
 # --- aggregates, pivot, dedup ----------------------------------------------------------------
@@ -1059,28 +1052,18 @@ def w2_calendar(spark, sf):
 @register(
     "w2_dense_series",
     query(
-        """SELECT pickup_h3, window_start::DATE AS day, count(*) AS windows,
-      count(*) FILTER (n IS NULL) AS empty_windows, coalesce(sum(n), 0)::BIGINT AS pickups
+        """SELECT pickup_h3, window_start, coalesce(n, 0)::BIGINT AS pickup_count
     FROM (
       SELECT pickup_h3, unnest(generate_series(min(window_start), max(window_start), INTERVAL 5 MINUTE)) AS window_start
       FROM demand WHERE pickup_h3 IS NOT NULL GROUP BY pickup_h3) AS spine
-    LEFT JOIN cell_windows USING (pickup_h3, window_start)
-    GROUP BY ALL""",
+    LEFT JOIN cell_windows USING (pickup_h3, window_start)""",
         "demand",
         "cell_windows",
     ),
 )
 def w2_dense(spark, sf):
-    """The dense series of all cells, summed up per cell and day."""
-    return (
-        sr.densify(demand(spark, sf))
-        .groupBy("pickup_h3", F.to_date("window_start").alias("day"))
-        .agg(
-            F.count("*").alias("windows"),
-            F.count_if(F.col("pickup_count") == 0).alias("empty_windows"),
-            F.sum("pickup_count").alias("pickups"),
-        )
-    )
+    """Every window of the dense series of all cells."""
+    return sr.densify(demand(spark, sf)).select("pickup_h3", "window_start", "pickup_count")
 
 
 @register(
@@ -1301,30 +1284,31 @@ def f17_drivers(spark, sf):
     )
 
 
-@register(
-    "f18_nested_answers",
-    query(
-        f"""SELECT driver_id, driver_h3, d.hour::BIGINT AS hour, d.day_of_week::BIGINT AS day_of_week,
-      count(*) AS answers, arg_min(candidate_h3, "rank") AS best_cell,
-      {r6('round_even(arg_min(final_score, "rank"), 4)')} AS best_score
-    FROM drivers d JOIN recs r ON r.origin_h3 = d.driver_h3 AND r.hour_of_day = d.hour AND r.day_of_week = d.day_of_week
-    WHERE in_area GROUP BY ALL""",
-        "drivers",
-        "recs",
-    ),
-)
+def answer_elements(answers: DataFrame) -> DataFrame:
+    """Every element of nested answers with its place in the list."""
+    return answers.select(
+        "driver_id", "driver_h3", "hour", "day_of_week", F.posexplode("recommendations").alias("position", "answer")
+    ).select("driver_id", "driver_h3", "hour", "day_of_week", "position", "answer.*")
+
+
+ANSWER_ELEMENTS = f'SELECT * EXCLUDE (driver_lat), "rank" - 1 AS position FROM ({ANSWER_ROWS}) AS answer_rows'
+
+
+@register("f18_nested_answers", query(ANSWER_ELEMENTS, "drivers", "recs"))
 def f18(spark, sf):
+    """All elements of the nested answers, each at the place of its rank."""
     answers = serving.recommend(fx.driver_points(spark, sf), recs(spark, sf), S)
-    first = F.get("recommendations", 0)
-    return answers.filter(F.col("status") == serving.OK).select(
-        "driver_id",
-        "driver_h3",
-        "hour",
-        "day_of_week",
-        F.size("recommendations").alias("answers"),
-        first["h3_cell"].alias("best_cell"),
-        first["score"].alias("best_score"),
-    )
+    return answer_elements(answers.filter(F.col("status") == serving.OK))
+
+
+@register("f18_response_text", query(ANSWER_ELEMENTS, "drivers", "recs"))
+def f18_text(spark, sf):
+    """The response texts of successful answers, read back and taken apart."""
+    answers = serving.recommend(fx.driver_points(spark, sf), recs(spark, sf), S)
+    parts = ("driver_h3", "hour", "day_of_week", "recommendations")
+    schema = T.StructType([answers.schema[name] for name in parts])
+    read = serving.to_json(answers).select("driver_id", F.from_json("response", schema).alias("said"))
+    return answer_elements(read.select("driver_id", "said.*"))
 
 
 @register(
@@ -1539,27 +1523,39 @@ CUTOFF = f"TIMESTAMP '{S.model.cutoff} 00:00:00'"
 @register(
     "m4_boosted_trees",
     query(
-        f"""SELECT count(*) AS row_count, 0::BIGINT AS differing, 0::BIGINT AS unscored, true AS beats_mean
+        f"""SELECT window_start, pickup_zone_id, pickup_h3, target_pickup_count::BIGINT AS target_pickup_count,
+      true AS scored, true AS same_again
     FROM features WHERE window_start < {CUTOFF}""",
         "features",
     ),
 )
 def m4(spark, sf):
-    """Two fits of the training rows agree, score every row, and err less than the mean."""
+    """Every training row: scored by the shared fit, and alike by a second fit with the same settings."""
     train, _ = ml.split_by_time(features(spark, sf), S.model.cutoff)
-    small = replace(S.model, trees=3)
-    made = [ml.score(ml.fit(train, small), train).select(*KEYS, ml.LABEL, "prediction") for _ in range(2)]
-    both = made[0].join(made[1].withColumnRenamed("prediction", "again").drop(ml.LABEL), [*KEYS])
-    error = F.col("prediction") - F.col(ml.LABEL)
-    return both.agg(
-        F.count("*").alias("row_count"),
-        F.count_if(F.col("prediction") != F.col("again")).alias("differing"),
-        F.count_if(F.col("prediction").isNull()).alias("unscored"),
-        (F.avg(error * error) < F.var_pop(ml.LABEL)).alias("beats_mean"),
+    first, again = (
+        ml.score(model, train).select(*KEYS, ml.LABEL, F.col("prediction").alias(name))
+        for model, name in ((ml.load(model_path(spark, sf)), "prediction"), (ml.fit(train, S.model), "again"))
     )
+    return first.join(again.drop(ml.LABEL), [*KEYS]).select(
+        *KEYS,
+        ml.LABEL,
+        F.col("prediction").isNotNull().alias("scored"),
+        F.col("prediction").eqNullSafe(F.col("again")).alias("same_again"),
+    )
+
+
+@register(
+    "m4_error_below_mean",
+    query(f"SELECT count(*) AS row_count, true AS beats_mean FROM features WHERE window_start < {CUTOFF}", "features"),
+)
+def m4_error(spark, sf):
+    """The fit errs less on its training rows than their mean does."""
+    train, _ = ml.split_by_time(scored_rows(spark, sf), S.model.cutoff)
+    error = F.col("prediction") - F.col(ml.LABEL)
+    return train.agg(F.count("*").alias("row_count"), (F.avg(error * error) < F.var_pop(ml.LABEL)).alias("beats_mean"))
 
 
-def walked(spark: SparkSession, path: str, rows: DataFrame, depth: int) -> DataFrame:
+def walked(spark: SparkSession, path: str, rows: DataFrame, trees: int, depth: int) -> DataFrame:
     """Predictions read off the saved trees' nodes, one level of all trees at a time."""
     stage = f"{path}/stages/*GBTRegressor*"
     nodes = spark.read.parquet(f"{stage}/data").select("treeID", "nodeData.*")
@@ -1575,9 +1571,13 @@ def walked(spark: SparkSession, path: str, rows: DataFrame, depth: int) -> DataF
         F.col("split.leftCategoriesOrThreshold").alias("left"),
         F.col("split.numCategories").alias("categories"),
     )
-    state = rows.select(*KEYS, vector_to_array("features").alias("x"), "prediction").join(
-        weights.withColumn("at", F.lit(0))
-    )
+    state = rows.select(
+        *KEYS,
+        vector_to_array("features").alias("x"),
+        "prediction",
+        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("treeID"),
+        F.lit(0).alias("at"),
+    ).join(weights, "treeID")
     for _ in range(depth):
         value = F.get("x", F.col("input"))
         goes_left = F.when(F.col("categories") < 0, value <= F.get("left", F.lit(0))).otherwise(F.array_contains("left", value))
@@ -1589,13 +1589,13 @@ def walked(spark: SparkSession, path: str, rows: DataFrame, depth: int) -> DataF
 
 @register(
     "m5_predictions",
-    query("SELECT count(*) AS row_count, 0::BIGINT AS differing FROM features", "features"),
+    query("SELECT window_start, pickup_zone_id, pickup_h3, true AS as_walked FROM features", "features"),
 )
 def m5(spark, sf):
-    """Every row's prediction equals the weighted sum of the leaves that the saved trees lead it to."""
-    rows = walked(spark, model_path(spark, sf), scored_rows(spark, sf), S.model.depth)
-    far = F.abs(F.col("walked") - F.col("prediction")) > 1e-9
-    return rows.agg(F.count("*").alias("row_count"), F.count_if(far | F.col("walked").isNull()).alias("differing"))
+    """Every row: whether its prediction equals the weighted sum of the leaves that the saved trees lead it to."""
+    rows = walked(spark, model_path(spark, sf), scored_rows(spark, sf), S.model.trees, S.model.depth)
+    near = F.abs(F.col("walked") - F.col("prediction")) <= 1e-9
+    return rows.select(*KEYS, F.coalesce(near, F.lit(False)).alias("as_walked"))
 
 
 @register(
