@@ -24,6 +24,8 @@ class Inputs:
     stations_raw: DataFrame
     #: Places for which weather is expected, checked against what landed; all boroughs of ``zones`` if not given.
     places: DataFrame | None = None
+    #: Rows of the station file that have another number of fields (``tables.read_stations_rows``).
+    stations_broken: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -93,6 +95,8 @@ def refresh(
     keep("repeated_zones", quality.repeated_zones(zones))
     keep("zones_without_cells", quality.zones_without_cells(cells))
     keep("station_rejects", stations.rejected_stations(inputs.stations_raw))
+    if inputs.stations_broken is not None:
+        keep("station_broken_rows", inputs.stations_broken)
     chargers = keep("ny_chargers", stations.clean_stations(inputs.stations_raw, settings, station_key))
 
     path = folder("demand_h3_res8_5min")

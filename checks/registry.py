@@ -337,6 +337,20 @@ def s4(spark, sf):
     )
 
 
+def station_file(spark: SparkSession, sf: str) -> src.CsvRows:
+    """The station file with broken lines, read and split."""
+    path = session.scratch_path(spark, "station-lines")
+    fx.station_lines(spark, sf).write.text(path)
+    keyed = T.StructType([T.StructField("station_key", T.StringType()), *schemas.STATIONS_CSV.fields])
+    return src.read_csv_rows(spark, path, keyed, header=False)
+
+
+@register("s4_station_csv_rows", query(f"{STATION_TEXT} WHERE station_key % 23 <> 0 AND station_key % 29 <> 0", "stations_csv"))
+def s4_rows(spark, sf):
+    """Stations whose lines have a field for each column."""
+    return station_file(spark, sf).rows.toDF("station_key", "station_name", "lat_text", "lon_text", "fast_text", "level2_text")
+
+
 @register("s5_table_by_name", rounded("demand", DEMAND))
 def s5(spark, sf):
     demand(spark, sf).createOrReplaceTempView("demand_h3_res8_5min")
@@ -949,6 +963,21 @@ def a8_station_rejects(spark, sf):
     return stations.rejected_stations(fx.stations_csv(spark, sf))
 
 
+@register(
+    "a8_station_file_rejects",
+    query(
+        """SELECT concat_ws(',', station_key::VARCHAR, station_name, lat_text, lon_text)
+      || CASE WHEN station_key % 23 = 0 THEN '' ELSE ',' || coalesce(fast_text, '') || ',' || coalesce(level2_text, '') END
+      || CASE WHEN station_key % 29 = 0 THEN ',more' ELSE '' END AS record
+    FROM stations_csv WHERE station_key % 23 = 0 OR station_key % 29 = 0""",
+        "stations_csv",
+    ),
+)
+def a8_station_file(spark, sf):
+    """Lines of the station file with too few or too many fields, in their own words."""
+    return station_file(spark, sf).rejects.select("record")
+
+
 @register(
     "a8_repeated_zones",
     query("""SELECT LocationID::BIGINT AS "LocationID", 2::BIGINT AS row_count FROM zones WHERE LocationID % 3 = 0""", "zones"),

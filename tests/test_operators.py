@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cabgrid import schemas
 from cabgrid.config import Settings
@@ -550,3 +551,31 @@ def test_settings_are_parameters(spark):
         (pack(0, 0), pack(0, 1)),
         (pack(0, 1), pack(0, 0)),
     }
+
+
+def test_csv_rows_of_another_width_are_set_apart(spark, tmp_path):
+    path = tmp_path / "stations.csv"
+    head = "Station Name,Latitude,Longitude,EV DC Fast Count,EV Level2 EVSE Num\n"
+    lines = ["a,40.7,-74.0,1,2", '"b, c",40.7,-74.0,,', "short,40.7,-74.0", "long,40.7,-74.0,1,2,3", "", "d,x,y,z,nan"]
+    path.write_text(head + "\n".join(lines) + "\n")
+    split = src.read_stations_rows(spark, str(path))
+    assert [tuple(r) for r in split.rows.collect()] == [
+        ("a", "40.7", "-74.0", "1", "2"),
+        ("b, c", "40.7", "-74.0", None, None),
+        ("d", "x", "y", "z", "nan"),
+    ]
+    assert [r.record for r in split.rejects.collect()] == ["short,40.7,-74.0", "long,40.7,-74.0,1,2,3"]
+    assert all(r.file.endswith("stations.csv") for r in split.rejects.collect())
+    # Pruned and counted reads see the same rows.
+    assert split.rows.select("Latitude").count() == split.rows.count() == 3 and split.rejects.count() == 2
+    # A file without broken rows, and one of only a header.
+    path.write_text(head)
+    none = src.read_stations_rows(spark, str(path))
+    assert none.rows.count() == none.rejects.count() == 0
+
+
+def test_a_column_named_like_the_record_of_broken_rows(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text("_corrupt_record,b\n1,2\n3\n")
+    split = src.read_csv_rows(spark, str(path), StructType.fromDDL("_corrupt_record string, b string"))
+    assert [tuple(r) for r in split.rows.collect()] == [("1", "2")] and [r.record for r in split.rejects.collect()] == ["3"]
