@@ -23,6 +23,7 @@ from cabgrid.plans.incremental import DemandTables, Layout
 from cabgrid.sinks import versions, writers
 from cabgrid.sources import tables as src
 from cabgrid.streaming import live_demand as live
+from cabgrid.streaming import merged_demand as late
 from checks import fixtures as fx
 from checks.oracle import BLOCKS, GRID, d, dist, lat_of, lon_of, query, r6, weather_of, whole, with_cell
 
@@ -1747,3 +1748,17 @@ def t1(spark, sf):
     path = session.scratch_path(spark, "live-demand")
     live.write_available(rows, path, session.scratch_path(spark, "live-offsets")).awaitTermination()
     return spark.read.parquet(path).select(*DEMAND)
+
+
+@register("t1_demand_with_late_trips", rounded("demand", DEMAND))
+def t1_late(spark, sf):
+    """All trips as a stream, of which those of some dates come after everything else."""
+    trips = fx.trips(spark, sf)
+    day = F.to_date("tpep_pickup_datetime")
+    delayed = F.coalesce(day.isin(*LATE_DATES) & (F.col("trip_id") % 3 == 0), F.lit(False))
+    source, layout = session.scratch_path(spark, "late-trips"), late.Layout(session.scratch_path(spark, "merged-demand"))
+    for part in (trips.filter(~delayed), trips.filter(delayed)):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(trips.schema).parquet(source)
+        late.merge_available(stream, zone_positions(spark, sf), layout, S, fx.trip_key()).awaitTermination()
+    return src.read_parquet(spark, layout.demand).select(*DEMAND)
