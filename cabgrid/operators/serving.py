@@ -58,8 +58,40 @@ def recommend(points: DataFrame, recs: DataFrame, settings: Settings) -> DataFra
     Recommendations are nested before the join, so a point stays one row and a
     crowded cell does not multiply.
     """
-    lists = answer_lists(recs, settings).withColumnsRenamed({"origin_h3": "driver_h3", "hour_of_day": "hour"})
+    return _answered(points, locate(points, settings), answer_lists(recs, settings))
+
+
+def look_up(points: DataFrame, recs: DataFrame, settings: Settings, buckets: int) -> DataFrame:
+    """The same from a lookup table of so many buckets (``sinks.lookup``), reading only the slots asked for.
+
+    The slots of the points, at most 24 x 7 rows and so always broadcast, prune
+    the table's folders at run time. The cells asked for, each with its slots, are dealt by
+    the hash of the buckets. So the table stays where it is, and the lists are made there, as a
+    bucket holds all rows of a cell.
+    """
     located = locate(points, settings)
+    asked = (
+        # The range holds for every hour; Spark prunes by filters that compare.
+        located.filter("in_area AND driver_h3 IS NOT NULL AND hour BETWEEN 0 AND 23")
+        .selectExpr("driver_h3 AS origin_h3", "hour AS hour_of_day", "day_of_week")
+        .distinct()
+    )
+    slots = asked.select(*SLOT).distinct()
+    cells = (
+        asked.repartition(buckets, "origin_h3")
+        .groupBy("origin_h3")
+        .agg(F.collect_set(F.struct(*SLOT)).alias("slots_asked"))
+    )
+    found = (
+        recs.join(F.broadcast(slots), [*SLOT], "left_semi")
+        .join(cells, "origin_h3")
+        .filter(F.array_contains("slots_asked", F.struct(*SLOT)))
+    )
+    return _answered(points, located, answer_lists(found, settings))
+
+
+def _answered(points: DataFrame, located: DataFrame, lists: DataFrame) -> DataFrame:
+    lists = lists.withColumnsRenamed({"origin_h3": "driver_h3", "hour_of_day": "hour"})
     found = located.join(lists, ["driver_h3", "hour", "day_of_week"], "left")
     return found.select(
         *points.columns,

@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from cabgrid.config import Settings
 from cabgrid.functions import scalars
-from cabgrid.functions.hexgrid import AXIS_BITS, grid_distance, pack_sql, q_sql, r_sql
+from cabgrid.functions.hexgrid import grid_distance, pack_sql, q_sql, r_sql
 
 DETAILS = ("station_name", "lat", "lon", "fast_chargers", "level2_chargers", "charger_h3")
 
-# Tile edges in cells, coarse to fine, as powers of two. The first splits the
-# whole id range in four, the second is wider than a metropolitan area (about
-# 400 km), the last are blocks of four by four cells.
-TILE_BITS = (AXIS_BITS - 1, 9, 6, 4, 2)
-# All cells begin at the same four tiles; so many copies of what lies below those spread them.
+# Square tiles of so many bits along each axis: blocks of four by four cells, districts
+# of 16 by 16, and regions wider than a metropolitan area (about 400 km).
+BLOCK, DISTRICT, REGION = 2, 4, 9
+# Districts of cells are dealt to so many copies of the regions, of which there are few.
 ROOT_COPIES = 64
+AXES = (("q", "q"), ("r", "r"), ("s", "q + r"))
 
 
 def clean_stations(raw: DataFrame, settings: Settings, key: Column | None = None) -> DataFrame:
@@ -56,94 +56,117 @@ def rejected_stations(raw: DataFrame) -> DataFrame:
     )
 
 
-def _tile(bits: int) -> str:
+def _tile(bits: int, name: str) -> Column:
     """Id of the square tile of ``2**bits`` cells that holds ``(q, r)``."""
-    return pack_sql(f"shiftright(q, {bits})", f"shiftright(r, {bits})")
-
-
-def _tiles(occupied: DataFrame, bits: int, parent_bits: int, k: int) -> DataFrame:
-    """Occupied tiles of one size: station count (up to ``k``) and extent in q, r and q + r."""
-    return occupied.groupBy(F.expr(f"{_tile(bits)} AS tile"), F.expr(f"{_tile(parent_bits)} AS parent")).agg(
-        F.expr(f"least(sum(n), {k}) AS n"),
-        *[
-            F.expr(f"{end}({axis}) AS {name}_{end}")
-            for name, axis in (("q", "q"), ("r", "r"), ("s", "q + r"))
-            for end in ("min", "max")
-        ],
+    return F.expr(f"{pack_sql(f'shiftright(q, {bits})', f'shiftright(r, {bits})')} AS {name}")
+
+
+def _above(tile: str, bits: int, name: str) -> Column:
+    """Id of the tile that holds ``tile``, whose edges are ``2**bits`` times as long."""
+    return F.expr(f"{pack_sql(f'shiftright({q_sql(tile)}, {bits})', f'shiftright({r_sql(tile)}, {bits})')} AS {name}")
+
+
+def _extent(name: str) -> Column:
+    """Extremes of a tile's cells along the three axes."""
+    ends = ", ".join(f"'{a}_{end}', {end}({at})" for a, at in AXES for end in ("min", "max"))
+    return F.expr(f"named_struct({ends}) AS {name}")
+
+
+def _union(name: str) -> Column:
+    """Extremes of a tile from those of the tiles in it."""
+    ends = ", ".join(f"'{a}_{end}', {end}({name}.{a}_{end})" for a, _ in AXES for end in ("min", "max"))
+    return F.expr(f"named_struct({ends}) AS {name}")
+
+
+def _placed(rows: DataFrame, cell: str) -> DataFrame:
+    return rows.filter(F.col(cell).isNotNull()).selectExpr("*", f"{q_sql(cell)} AS q", f"{r_sql(cell)} AS r")
+
+
+def _within_reach(pairs: DataFrame, by: str, k: int) -> DataFrame:
+    """Of the tiles ``there`` that each tile ``here`` met, those that may hold one of the ``k`` stations nearest to a cell in it.
+
+    ``k`` stations are certain within the least distance by whose tiles, seen
+    from the farthest cells of both, ``k`` are counted. A tile none of whose cells is
+    as near as that holds none of them.
+    """
+    # Distance is the largest difference along the three axes.
+    closest = ", ".join(f"there.{a}_min - here.{a}_max, here.{a}_min - there.{a}_max" for a, _ in AXES)
+    farthest = ", ".join(f"there.{a}_max - here.{a}_min, here.{a}_max - there.{a}_min" for a, _ in AXES)
+    of = Window.partitionBy(by)
+    within = of.orderBy("d_max").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        pairs.selectExpr("*", f"greatest(0, {closest}) AS d_min", f"greatest({farthest}) AS d_max")
+        .withColumn("stations_within", F.sum("n").over(within))
+        .withColumn("enough_at", F.min(F.expr(f"IF(stations_within >= {k}, d_max, NULL)")).over(of))
+        .filter("enough_at IS NULL OR d_min <= enough_at")
+        .drop("d_min", "d_max", "stations_within", "enough_at", "there", "n")
     )
 
 
 def nearest_stations(cells: DataFrame, stations: DataFrame, k: int = 3) -> DataFrame:
-    """The ``k`` nearest stations of each cell: ``(h3_cell, priority, charger_distance, station columns)``.
-
-    Cells and stations are not paired with each other. Stations are counted in
-    a pyramid of tiles, and each cell walks down from the coarsest: of the
-    tiles below those it kept, it keeps the ones whose closest point is no
-    farther than the distance within which ``k`` stations are certain. Of the
-    station cells in the last tiles the first ``k`` are kept, by distance and
-    lowest station id; they hold the answer. Equal distances go to the lower
-    station id.
-
-    The first step meets all occupied tiles of some 400 km; cells are spread for
-    it. A further level meets at most 64 tiles below each tile kept, and few are
-    kept: those along the edge of what is near.
+    """The ``k`` nearest stations of each cell: ``(h3_cell, charger_distance, station columns, priority)``.
+
+    Cells and stations are not paired with each other; tiles of cells meet tiles
+    of stations. Stations are counted per district, and districts are summed to
+    regions. A district of cells meets the regions, keeps those within reach,
+    meets the districts in them and again keeps some. A block of cells takes
+    over what its district kept and meets the blocks of stations in there, each
+    a row with at most ``k`` stations a cell, so 16 ``k``. Only what is left is looked at cell by
+    cell. Of stations in one cell the lowest ids are first, and equal distances
+    go to the lower station id.
+
+    With fewer than ``k`` stations in all, all are kept. What one district of
+    cells meets is bounded by the 1,024 districts of each region kept, what a
+    block meets by the 16 blocks of each district kept: those along the edge of what is near.
     """
     # Of stations in one cell only the k lowest ids can ever be chosen.
     in_cell = Window.partitionBy("charger_h3").orderBy("charger_id")
     local = (
-        stations.select("charger_id", *DETAILS)
+        _placed(stations.select("charger_id", *DETAILS), "charger_h3")
         .withColumn("nth", F.row_number().over(in_cell))
         .filter(F.col("nth") <= k)
-        .drop("nth")
     )
-    occupied = (
-        local.groupBy("charger_h3")
-        .agg(F.count("*").alias("n"), F.min("charger_id").alias("lowest_id"))
-        .selectExpr("charger_h3", "n", "lowest_id", f"{q_sql('charger_h3')} AS q", f"{r_sql('charger_h3')} AS r")
+    station_blocks = (
+        local.groupBy(_tile(BLOCK, "station_block"))
+        .agg(
+            F.least(F.count("*"), F.lit(k)).alias("n"),
+            _extent("there"),
+            F.collect_list(F.struct("charger_id", *DETAILS)).alias("stations"),
+        )
+        .withColumn("district", _above("station_block", DISTRICT - BLOCK, "district"))
     )
-    roots = ", ".join(pack_sql(str(q), str(r)) for q in (-1, 0) for r in (-1, 0))
-    walk = (
-        cells.select("h3_cell")
-        .filter("h3_cell IS NOT NULL")
-        .distinct()
-        .selectExpr("h3_cell", f"explode(array({roots})) AS kept")
-        .withColumn("part", F.expr(f"CAST(pmod(xxhash64(h3_cell), {ROOT_COPIES}) AS INT)"))
+    districts = (
+        _placed(stations.select("charger_h3"), "charger_h3")
+        .groupBy(_tile(DISTRICT, "district"))
+        .agg(F.least(F.count("*"), F.lit(k)).alias("n"), _extent("there"))
+        .withColumn("region", _above("district", REGION - DISTRICT, "region"))
+        # Said here, as the join below would say it for one of two readers, and both can read one exchange.
+        .filter("region IS NOT NULL AND district IS NOT NULL")
     )
-    by_cell = Window.partitionBy("h3_cell")
-    within = by_cell.orderBy("d_max").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    q, r = q_sql("h3_cell"), r_sql("h3_cell")
-    axes = (("q", q), ("r", r), ("s", f"({q} + {r})"))
-    # Distance is the largest difference along the three axes.
-    closest = ", ".join(f"{n}_min - {at}, {at} - {n}_max" for n, at in axes)
-    farthest = ", ".join(f"abs({at} - {n}_min), abs({at} - {n}_max)" for n, at in axes)
-    for parent_bits, bits in zip(TILE_BITS, TILE_BITS[1:]):
-        tiles = _tiles(occupied, bits, parent_bits, k)
-        on = walk["kept"] == tiles["parent"]
-        if parent_bits == TILE_BITS[0]:
-            tiles = tiles.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(ROOT_COPIES - 1))))
-            on &= walk["part"] == tiles["copy"]
-        walk = (
-            walk.join(tiles, on)
-            .selectExpr("h3_cell", "tile", "n", f"greatest(0, {closest}) AS d_min", f"greatest({farthest}) AS d_max")
-            .withColumn("stations_within", F.sum("n").over(within))
-            .withColumn("enough_at", F.min(F.expr(f"IF(stations_within >= {k}, d_max, NULL)")).over(by_cell))
-            .filter("enough_at IS NULL OR d_min <= enough_at")
-            .selectExpr("h3_cell", "tile AS kept")
-        )
-    last = occupied.selectExpr(f"{_tile(TILE_BITS[-1])} AS parent", "charger_h3 AS at", "lowest_id")
-    near = (
-        walk.join(last, walk["kept"] == last["parent"])
-        .withColumn("charger_distance", grid_distance("h3_cell", "at"))
-        .withColumn("nth", F.row_number().over(by_cell.orderBy("charger_distance", "lowest_id")))
-        .filter(F.col("nth") <= k)
-        .select("h3_cell", "at", "charger_distance")
+    regions = districts.groupBy("region").agg(F.least(F.sum("n"), F.lit(k)).alias("n"), _union("there"))
+
+    asked = _placed(cells.select("h3_cell"), "h3_cell")
+    homes = asked.groupBy(_tile(DISTRICT, "home")).agg(_extent("here"))
+    cell_blocks = (
+        asked.groupBy(_tile(BLOCK, "block"))
+        .agg(_extent("here"), F.collect_set("h3_cell").alias("cells"))
+        .withColumn("home", _above("block", DISTRICT - BLOCK, "home"))
     )
-    nearest_first = by_cell.orderBy("charger_distance", "charger_id")
+    copies = regions.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(ROOT_COPIES - 1))))
+    dealt = homes.withColumn("part", F.expr(f"CAST(pmod(xxhash64(home), {ROOT_COPIES}) AS INT)"))
+    near_regions = _within_reach(dealt.join(copies, "part").drop("part"), "home", k)
+    near_districts = _within_reach(near_regions.join(districts, "region").drop("region"), "home", k)
+    met = cell_blocks.join(near_districts.select("home", "district"), "home").join(station_blocks, "district")
+    # A block's rows are together already, so its cells need no shuffle of their own.
+    nearest_first = Window.partitionBy("block", "h3_cell").orderBy("charger_distance", "charger_id")
     return (
-        near.join(local, near["at"] == local["charger_h3"])
-        .drop("at")
+        _within_reach(met.drop("home", "district", "station_block"), "block", k)
+        .select("block", F.explode("cells").alias("h3_cell"), "stations")
+        .select("block", "h3_cell", F.inline("stations"))
+        .withColumn("charger_distance", grid_distance("h3_cell", "charger_h3"))
         .withColumn("priority", F.row_number().over(nearest_first))
         .filter(F.col("priority") <= k)
+        .select("h3_cell", "charger_distance", "charger_id", *DETAILS, "priority")
     )
 
 

@@ -40,21 +40,25 @@ def write_slots(df: DataFrame, path: str) -> None:
     overwrite_partitioned(df, path, SLOT_COLUMNS)
 
 
-def _quoted(name: str) -> str:
-    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+def quoted_part(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def quoted(name: str) -> str:
+    return ".".join(quoted_part(part) for part in name.split("."))
 
 
 def _location(path: str) -> str:
     return path.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _described(spark: SparkSession, name: str) -> dict[str, str]:
-    return {row[0]: row[1] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").collect()}
+def described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").collect()}
 
 
 def same_layout(spark: SparkSession, name: str, path: str) -> bool:
     """Whether the files at ``path`` have the columns of table ``name``, which lists its folders when it is read."""
-    if _described(spark, name).get("Partition Provider") == "Catalog":
+    if described(spark, name).get("Partition Provider") == "Catalog":
         return False
     new = spark.read.parquet(path)
     by = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
@@ -62,6 +66,30 @@ def same_layout(spark: SparkSession, name: str, path: str) -> bool:
     return spark.table(name).dtypes == new.dtypes and all(f"/{column}=" in f for column in by for f in files)
 
 
+def refuse_unless_external(spark: SparkSession, name: str) -> None:
+    kind = spark.catalog.getTable(name).tableType
+    if kind != "EXTERNAL":
+        raise ValueError(f"{name} is {kind}, not an external table; it is left as it is")
+
+
+def move(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Point an external table to another folder of the same layout."""
+    spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{_location(path)}'")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def create(spark: SparkSession, statement: str, path: str) -> None:
+    """Run a CREATE TABLE statement for the files at ``path``; the table lists its folders when it is read."""
+    listed = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(listed)
+    spark.conf.set(listed, "false")
+    try:
+        spark.sql(f"{statement} LOCATION '{_location(path)}'")
+    finally:
+        spark.conf.set(listed, before)
+
+
 def register(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Make the Parquet table at ``path`` known by name, replacing an older registration of this kind.
 
@@ -72,23 +100,12 @@ def register(spark: SparkSession, name: str, path: str) -> DataFrame:
     stands for anything else, such as a managed table or a view, is refused,
     since replacing that would delete data.
     """
-    quoted = _quoted(name)
     if spark.catalog.tableExists(name):
-        kind = spark.catalog.getTable(name).tableType
-        if kind != "EXTERNAL":
-            raise ValueError(f"{name} is {kind}, not an external table; it is left as it is")
+        refuse_unless_external(spark, name)
         if same_layout(spark, name, path):
-            spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{_location(path)}'")
-            spark.catalog.refreshTable(name)
-            return spark.table(name)
-        spark.sql(f"DROP TABLE {quoted}")
-    listed = "spark.sql.hive.manageFilesourcePartitions"
-    before = spark.conf.get(listed)
-    spark.conf.set(listed, "false")
-    try:
-        spark.sql(f"CREATE TABLE {quoted} USING parquet LOCATION '{_location(path)}'")
-    finally:
-        spark.conf.set(listed, before)
+            return move(spark, name, path)
+        spark.sql(f"DROP TABLE {quoted(name)}")
+    create(spark, f"CREATE TABLE {quoted(name)} USING parquet", path)
     return spark.table(name)
 
 

@@ -20,7 +20,7 @@ from cabgrid.operators import quality, recommend, serving, stations, weather, zo
 from cabgrid.operators import series as sr
 from cabgrid.operators import typical as ty
 from cabgrid.plans.incremental import DemandTables, Layout
-from cabgrid.sinks import versions, writers
+from cabgrid.sinks import lookup, versions, writers
 from cabgrid.sources import tables as src
 from cabgrid.streaming import live_demand as live
 from cabgrid.streaming import merged_demand as late
@@ -799,6 +799,23 @@ def j8(spark, sf):
     return serving.recommendation_rows(named)
 
 
+LOOKUP_BUCKETS = 4
+
+
+def lookup_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The recommendations as a lookup table of their own name."""
+    path = session.scratch_path(spark, "lookup")
+    lookup.write(recs(spark, sf), path, LOOKUP_BUCKETS)
+    return lookup.publish(spark, path.rsplit("/", 1)[1].replace("-", "_"), path, LOOKUP_BUCKETS)
+
+
+@register("j8_bucketed_lookup", query(ANSWER_ROWS, "drivers", "recs"))
+def j8_bucketed(spark, sf):
+    answers = serving.look_up(fx.driver_points(spark, sf), lookup_table(spark, sf), S, LOOKUP_BUCKETS)
+    named = answers.withColumnRenamed("lat", "driver_lat").drop("lon", "ts", "status")
+    return serving.recommendation_rows(named)
+
+
 FIRST_ZONE = """(SELECT * FROM nearest QUALIFY row_number() OVER (PARTITION BY h3_cell ORDER BY LocationID) = 1)"""
 
 

@@ -149,3 +149,13 @@ def test_busy_zone_is_split_when_the_map_is_too_large_to_broadcast(spark, conf,
     split = large.agg(F.count("*"), F.sum("pickup_count"), F.bit_xor(F.xxhash64("window_start", "pickup_h3", "pickup_count")))
     assert split.first() == expected
     assert "SortMergeJoin(skew=true)" in executed(large)
+
+
+@pytest.mark.parametrize("threshold, shuffled", [("10485760", 7), ("-1", 16)])
+def test_nearest_walks_by_tiles(spark, conf, threshold, shuffled):
+    """Eight windows; the districts of stations are summed once and read twice."""
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold, spark__sql__adaptive__autoBroadcastJoinThreshold=threshold)
+    near = stations.nearest_stations(reg.cell_rows(spark, SF_SMALL), reg.clean(spark, SF_SMALL))
+    text = executed(near).split("Initial Plan")[0]
+    assert len(re.findall(r" Window \[", text)) <= 8
+    assert shuffles(text) - text.count("ReusedExchange") <= shuffled
