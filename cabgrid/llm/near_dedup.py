@@ -13,8 +13,13 @@ shingle sequences, without labels: a passage that recurs aligns with any of its
 likeness is ``m / (a + b - m)``; from 0.8 on they are linked. The band is no
 approximation: texts that alike differ by at most (a + b) / 9 shingles, so an
 alignment never leaves it. Linked texts form classes. A pair of long texts
-at the threshold without recurring shingles is missed by all sketches three times in 10**5, of short
-ones more often: 4 against 5 shingles in 1.2 % of cases.
+at the threshold without recurring shingles is missed by all sketches three times in 10**5.
+
+Of few shingles a sketch tells too little, so texts of up to ``SHORT`` have an exact way in place of
+sketches. Alike texts have at least 0.8 of the longer one's labelled shingles in common. So if all
+are sorted by how many texts have them, the rarest first, two alike texts share one of the
+first ``size - ceil(0.8 size) + 1``, and those are their buckets. Texts up to ``SHORT / 0.8`` long, which may be alike to a
+short one, have both kinds. A frequent passage is nobody's rarest and makes no bucket.
 
 Members of a bucket are sorted into steps of length, of which only neighbours
 can be alike. First every member is compared with one anchor of its step and of
@@ -50,11 +55,13 @@ SHINGLE = 5
 LIKENESS = 0.8
 SKETCHES = 20
 LEAST = 4
+#: Texts of up to so many shingles have no sketches, but buckets by their rarest shingles.
+SHORT = 20
 #: Texts and shingles of a block, and shingles counted at once for all pairs of two blocks.
 BLOCK_TEXTS = 512
 BLOCK_SHINGLES = 400_000
 COLUMNS = 4096
-SKETCHED = "doc_id long, digest string, size int, sketches array<long>"
+SKETCHED = "doc_id long, digest string, size int, sketches array<long>, few array<long>"
 VERDICTS = "a string, b string, alike boolean"
 U = np.uint64
 
@@ -133,7 +140,15 @@ def sketched(docs: DataFrame) -> DataFrame:
         for batch in parts(batches):
             doc_ids, digests, found = batch.columns
             shingles, of, sizes = shingles_of(found.to_pylist())
-            yield batch_of(SKETCHED, doc_ids, digests, sizes, all_sketches(shingles, of, sizes))
+            signs: list = [[]] * len(sizes)
+            long = np.nonzero(sizes > SHORT)[0]
+            if len(long):
+                some = np.isin(of, long)
+                for text, row in zip(long, all_sketches(shingles[some], np.searchsorted(long, of[some]), sizes[long])):
+                    signs[text] = row
+            names, begin = as_long(labelled(shingles, of)), np.cumsum(sizes) - sizes
+            few = [names[b : b + n] if n <= SHORT / LIKENESS else [] for b, n in zip(begin.tolist(), sizes.tolist())]
+            yield batch_of(SKETCHED, doc_ids, digests, sizes, signs, few)
 
     keyed = texts(docs).select("doc_id", F.md5("text").alias("digest"), "text")
     return keyed.mapInArrow(emit, SKETCHED)
@@ -221,18 +236,17 @@ def stars(links: DataFrame) -> DataFrame:
 def links_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Stars that join the digests of linked texts."""
     spark = docs.sparkSession
+    kinds = [c for c in ("sketches", "few") if c in found.columns]
     texts_ = found.filter("size > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("sketches").alias("sketches")
-    )
-    spread = texts_.select("digest", "doc_id", "size", F.explode(F.array_distinct("sketches")).alias("sketch")).select(
-        # A sketch holds its turn, and the same from either end.
-        F.xxhash64("sketch").alias("bucket"),
-        "digest",
-        "doc_id",
-        "size",
-        # Texts that are alike are at most one step of length apart.
-        F.floor(F.log("size") / math.log(1 / LIKENESS)).cast("int").alias("step"),
+        F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), *(F.first(c).alias(c) for c in kinds)
     )
+    # A sketch holds its turn, and the same from either end.
+    sketch = F.explode(F.array_distinct("sketches"))
+    spread = texts_.select("digest", "doc_id", "size", sketch.alias("sketch")).withColumn("bucket", F.xxhash64("sketch")).drop("sketch")
+    if "few" in kinds:
+        spread = spread.unionByName(rarest(texts_))
+    # Texts that are alike are at most one step of length apart.
+    spread = spread.withColumn("step", F.floor(F.log("size") / math.log(1 / LIKENESS)).cast("int"))
     shared = spread.groupBy("bucket").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low < high")
     members = stored(spread.join(shared.select("bucket"), "bucket"), "near-buckets")
     # One row of each text is fetched, by its id, so that copies of a text don't travel; by digest where it has no id.
@@ -257,6 +271,21 @@ def links_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     return stars(links.unionByName(compared_in_blocks(still_open(members, links), contents)))
 
 
+def rarest(texts_: DataFrame) -> DataFrame:
+    """Buckets of texts of few shingles: any two that are alike share one."""
+    each = texts_.select("digest", "doc_id", "size", F.explode("few").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("digest").orderBy("often", "shingle")
+    return (
+        each.join(often, "shingle")
+        .withColumn("nth", F.row_number().over(order))
+        .filter(F.col("nth") <= F.col("size") - F.ceil(F.col("size") * LIKENESS - 1e-9) + 1)
+        # What one text alone has is in its order, but in no bucket.
+        .filter("often > 1")
+        .select("digest", "doc_id", "size", F.xxhash64(F.lit("few"), "shingle").alias("bucket"))
+    )
+
+
 def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members, with the class each is in, of the buckets that hold more than one class."""
     label = links.select(F.col("a").alias("digest"), F.col("b").alias("label"))

@@ -250,3 +250,43 @@ def test_texts_of_one_beginning_and_many_copies(spark):
         digest = hashlib.sha256(text.encode()).hexdigest()
         expected.update((i, keep, len(ids), i == keep, digest) for i in ids)
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got) == expected
+
+
+def short_pairs(rng, n, size, drop):
+    """Pairs of a text of so many words and the same without its last ones, each at 0.8 or more."""
+    for at in range(n):
+        text = [f"p{at}x{x}" for x in rng.integers(0, 10**6, size)]
+        yield " ".join(text), " ".join(text[:-drop])
+
+
+def test_short_texts_are_compared_exactly(spark):
+    """Of 4 against 5 shingles some pairs in a hundred share no sketch; their rarest shingles find all of them."""
+    rng = np.random.default_rng(3)
+    pairs = [*short_pairs(rng, 300, 9, 1), *short_pairs(rng, 100, 14, 2), *short_pairs(rng, 100, 29, 5)]
+    rows = [(2 * i + at, text) for i, pair in enumerate(pairs) for at, text in enumerate(pair)]
+    got = near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i in range(len(rows))}
+
+
+def test_short_texts_of_few_words_and_a_frequent_passage(spark):
+    """Edited texts around one passage, with words that recur, against all pairs."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for at in range(400):
+        if at % 4 and rows:
+            words = rows[-1][1].split()
+            words[int(rng.integers(0, len(words)))] = f"e{rng.integers(0, 3)}"
+            words = words[: len(words) - int(rng.integers(0, 2))] or words
+        else:
+            words = [f"w{x}" for x in rng.integers(0, 6, int(rng.integers(1, 26)))]
+            if at % 8:
+                words[len(words) // 2 : len(words) // 2] = "read on about this in our".split()
+        rows.append((at, " ".join(words)))
+    got = near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.class_size, r.kept) for r in got} == near_classes(rows)
+
+
+def test_a_frequent_passage_makes_no_bucket(spark):
+    texts = [" ".join([f"a{i}", f"b{i}", *"read on about this in our shop".split(), f"c{i}", f"d{i}"]) for i in range(200)]
+    found = near_dedup.sketched(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert near_dedup.rarest(found.select("digest", "doc_id", "size", "few")).count() == 0
