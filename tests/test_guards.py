@@ -10,6 +10,8 @@ from cabgrid.config import Settings, Weights
 from cabgrid.functions import scalars
 from cabgrid.operators import features, recommend, series, weather
 from cabgrid.operators.series import lag_name
+from checks import fixtures as fx
+from checks.registry import QUERIES
 from tests.test_operators import pack
 
 S = Settings()
@@ -84,6 +86,33 @@ def test_windows_are_made_by_several_tasks(spark, conf):
     assert dense.count() == 3 * (8 * 288 + 1)
 
 
+@pytest.fixture
+def suppliers(spark, tmp_path):
+    """Tables with one small file of suppliers; some names repeat, some are NULL."""
+    rows = [(k, None if k % 7 == 0 else f"s{k % 30}") for k in range(60)]
+    spark.createDataFrame(rows, "s_suppkey bigint, s_name string").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    return str(tmp_path)
+
+
+def test_weather_hours_are_made_by_several_tasks(spark, conf, suppliers):
+    conf(spark__sql__adaptive__enabled="true", spark__sql__adaptive__coalescePartitions__enabled="true", spark__sql__shuffle__partitions="4")
+    assert fx.table(spark, suppliers, "supplier").rdd.getNumPartitions() == 1
+    made = []
+    for tasks in (None, 9):
+        landed = fx.supplier_weather(spark, suppliers, tasks)
+        hours = weather.explode_hours(landed)
+        by_task = [r["count"] for r in hours.groupBy(F.spark_partition_id()).count().collect()]
+        # Rows with repeated or missing names are dealt out like any other.
+        assert len(by_task) == (tasks or 4) and max(by_task) <= (60 // len(by_task) + 1) * 712
+        assert sum(by_task) == 60 * 712
+        made.append(sorted(map(str, weather.hourly_weather(landed).collect())))
+    assert made[0] == made[1]
+    # The NULLs are one place.
+    assert len(made[0]) == len({None if k % 7 == 0 else k % 30 for k in range(60)}) * 712
+    for name in ("f1_weather_flags", "f2_weather_classes", "f3_exploded_hours"):
+        assert "RoundRobinPartitioning(4), REPARTITION_BY_NUM" in QUERIES[name](spark, suppliers)._jdf.queryExecution().toString()
+
+
 @pytest.mark.parametrize("kind", ["rows", "calendar", "dense"])
 def test_every_kind_of_lags(spark, kind):
     rows = [(T0 + timedelta(minutes=5 * i), 1, pack(0, 0), i) for i in (0, 1, 2, 4, 5, 9)]
