@@ -113,6 +113,14 @@ def test_weather_hours_are_made_by_several_tasks(spark, conf, suppliers):
         assert "RoundRobinPartitioning(4), REPARTITION_BY_NUM" in QUERIES[name](spark, suppliers)._jdf.queryExecution().toString()
 
 
+def test_weather_lands_in_several_files(spark, conf, suppliers):
+    conf(spark__sql__shuffle__partitions="4")
+    hours = QUERIES["s2_landed_weather"](spark, suppliers)
+    assert len(hours.inputFiles()) == 4
+    assert hours.count() == 60 * 712
+    assert hours.filter("borough IS NULL").count() == 9 * 712
+
+
 @pytest.mark.parametrize("kind", ["rows", "calendar", "dense"])
 def test_every_kind_of_lags(spark, kind):
     rows = [(T0 + timedelta(minutes=5 * i), 1, pack(0, 0), i) for i in (0, 1, 2, 4, 5, 9)]
