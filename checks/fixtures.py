@@ -15,6 +15,8 @@ from cabgrid.config import ModelConfig, Settings
 
 SETTINGS = replace(Settings(), model=ModelConfig(cutoff="2024-01-22"))
 HOURS = 720
+#: Places whose hours one task makes, about 360,000 rows.
+PLACES_A_TASK = 500
 
 # Outlines in unit coordinates by kind: (kind, part, ring_no, vertices).
 SHAPES = [
@@ -178,16 +180,12 @@ def region_weather(spark: SparkSession, sf: str) -> DataFrame:
     return landed.unionByName(again.withColumn("temp_2m", none))
 
 
-def supplier_weather(spark: SparkSession, sf: str, tasks: int | None = None) -> DataFrame:
-    """Landed weather per supplier, a larger set of places.
-
-    ``tasks`` says over how many tasks the hours are made (the number of
-    shuffle partitions if not given).
-    """
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def supplier_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed weather per supplier, a larger set of places."""
+    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name")
     # A small file of suppliers is one task and makes 712 hours a row, so the rows are dealt out first, by turns as
-    # names may repeat or be NULL; a stated number of partitions isn't merged again.
-    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name").repartition(tasks)
+    # names may repeat or be NULL; a stated number of partitions isn't merged again. The count reads footers only.
+    supplier = supplier.repartition(supplier.count() // PLACES_A_TASK + 1)
     return _weather(
         supplier.select(
             F.col("s_name").alias("borough"),

@@ -94,27 +94,28 @@ def suppliers(spark, tmp_path):
     return str(tmp_path)
 
 
-def test_weather_hours_are_made_by_several_tasks(spark, conf, suppliers):
-    conf(spark__sql__adaptive__enabled="true", spark__sql__adaptive__coalescePartitions__enabled="true", spark__sql__shuffle__partitions="4")
+def test_weather_hours_are_made_by_several_tasks(spark, conf, suppliers, monkeypatch):
+    conf(spark__sql__adaptive__enabled="true", spark__sql__adaptive__coalescePartitions__enabled="true")
     assert fx.table(spark, suppliers, "supplier").rdd.getNumPartitions() == 1
     made = []
-    for tasks in (None, 9):
-        landed = fx.supplier_weather(spark, suppliers, tasks)
+    for places, tasks in ((16, 4), (7, 9)):
+        monkeypatch.setattr(fx, "PLACES_A_TASK", places)
+        landed = fx.supplier_weather(spark, suppliers)
         hours = weather.explode_hours(landed)
         by_task = [r["count"] for r in hours.groupBy(F.spark_partition_id()).count().collect()]
         # Rows with repeated or missing names are dealt out like any other.
-        assert len(by_task) == (tasks or 4) and max(by_task) <= (60 // len(by_task) + 1) * 712
+        assert len(by_task) == tasks and max(by_task) <= places * 712
         assert sum(by_task) == 60 * 712
         made.append(sorted(map(str, weather.hourly_weather(landed).collect())))
     assert made[0] == made[1]
     # The NULLs are one place.
     assert len(made[0]) == len({None if k % 7 == 0 else k % 30 for k in range(60)}) * 712
     for name in ("f1_weather_flags", "f2_weather_classes", "f3_exploded_hours"):
-        assert "RoundRobinPartitioning(4), REPARTITION_BY_NUM" in QUERIES[name](spark, suppliers)._jdf.queryExecution().toString()
+        assert "RoundRobinPartitioning(9), REPARTITION_BY_NUM" in QUERIES[name](spark, suppliers)._jdf.queryExecution().toString()
 
 
-def test_weather_lands_in_several_files(spark, conf, suppliers):
-    conf(spark__sql__shuffle__partitions="4")
+def test_weather_lands_in_several_files(spark, suppliers, monkeypatch):
+    monkeypatch.setattr(fx, "PLACES_A_TASK", 16)
     hours = QUERIES["s2_landed_weather"](spark, suppliers)
     assert len(hours.inputFiles()) == 4
     assert hours.count() == 60 * 712
